@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.plans import problems
+from tessera.plans import problems, reference
 
-_MODULES = (problems,)
+_MODULES = (reference, problems)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -20,4 +20,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 def flagship(spark: SparkSession, directory: str) -> DataFrame:
-    return problems.p3_found(spark, directory)
+    return reference.coverage(spark, directory)

@@ -85,4 +85,19 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return normal_values(table(spark, d, "filings"), "filing_id", "processed_at_utc", ["acceptance_datetime"], ["filed_as_of_date", "period_of_report"])
 
 
+_SPACES = "trim(regexp_replace(field_value, '\\s+', ' ', 'g'))"
+_KEY = "regexp_replace(lower({}), '[^a-z0-9]+', '', 'g')"
+
+SQL = {
+    "p2_found": f"""WITH h AS (SELECT filing_id, {_KEY.format('section')} AS s, {_KEY.format('field_name')} AS f, occurrence, {_SPACES} AS v FROM header_fields WHERE filing_id IS NOT NULL AND regexp_matches({_SPACES}, '[A-Za-z0-9]')
+      AND upper({_SPACES}) NOT IN ('N/A', 'NA', 'NONE', 'NULL', 'NIL', 'UNKNOWN', 'TBD', 'PENDING', 'VARIOUS', 'SOON', 'SEE NOTE', 'SEE HEADER', 'NOT AVAILABLE', 'NOT APPLICABLE')),
+      w AS (SELECT {_KEY.format('section')} AS s, {_KEY.format('field_name')} AS f, column_name, data_type FROM wide_columns),
+      c AS (SELECT filing_id, column_name, occurrence, CASE data_type WHEN 'string' THEN v
+        WHEN 'bigint' THEN CASE WHEN regexp_matches(v, '^[0-9,]+$') THEN try_cast(replace(v, ',', '') AS BIGINT)::VARCHAR END
+        WHEN 'date' THEN strftime(coalesce(try_strptime(v, '%Y%m%d'), try_strptime(v, '%Y-%m-%d'), try_strptime(v, '%m/%d/%Y')), '%Y-%m-%d')
+        WHEN 'code' THEN nullif(ltrim(coalesce(nullif(regexp_extract(v, '\\[ *([0-9]+) *\\]', 1), ''), regexp_extract(v, '^([0-9]+)$', 1)), '0'), '')
+        WHEN 'digits' THEN CASE WHEN regexp_matches(v, '^[0-9 ./-]+$') THEN regexp_replace(v, '[^0-9]', '', 'g') END END AS cell_value FROM h JOIN w USING (s, f))
+      SELECT filing_id, column_name, arg_min(cell_value, (coalesce(occurrence, 9223372036854775807), cell_value)) AS cell_value FROM c WHERE cell_value IS NOT NULL GROUP BY 1, 2""",
+}
+
 QUERIES = {"p1_found": p1_found, "p1_history": p1_history, "p2_found": p2_found, "p2_wide": p2_wide, "p3_found": p3_found}
