@@ -9,7 +9,7 @@
    range, and the columns are put side by side by position. No join and no pivot over the entities.
 
 Defined results: an entity without any fitting cell has a row of nulls; null entities have none; a null occurrence
-counts last; equal occurrences take the smallest value; rows whose name is not wanted only make the entity known.
+counts last; equal occurrences take the smallest value; wanted columns without name or type are ignored; rows whose name is not wanted only make the entity known.
 Columns of the input other than the named ones are ignored, whatever their names.
 """
 
@@ -35,7 +35,11 @@ _NO_OCCURRENCE = 2**62
 
 
 def cell_text(kind: Column, value: Column) -> Column:
-    """The value as canonical text of its type, null where it does not fit (see SURVEY of types in ``TYPES``)."""
+    """The value as canonical text of its type, null where it does not fit.
+
+    string: white space squeezed; bigint: digits, with thousands commas or not; date: any spelling that is a date; code: the number in
+    brackets, else the bare number; digits: digits between blanks, dots, slashes and dashes. Placeholders fit nothing.
+    """
     real = real_text(value)
     number = F.when(real.rlike(r"^[+-]?([0-9]+|[0-9]{1,3}(,[0-9]{3})+)$"), F.regexp_replace(real, "[,+]", "")).try_cast("bigint").cast("string")
     digits = F.when(real.rlike(r"^[0-9 ./-]*[0-9][0-9 ./-]*$"), F.regexp_replace(real, "[^0-9]", ""))
@@ -52,7 +56,7 @@ def cell_text(kind: Column, value: Column) -> Column:
 
 def wanted_columns(spec: DataFrame) -> list[tuple[str, str]]:
     """(column_name, data_type) of the wide table in order; ``spec`` is a schema, read by the driver (at most 10,000 rows)."""
-    rows = spec.select("column_name", "data_type").distinct().orderBy("column_name").limit(10_001).collect()
+    rows = spec.select("column_name", "data_type").dropna().distinct().orderBy("column_name").limit(10_001).collect()
     if len(rows) > 10_000:
         raise ValueError("a wide table of over 10,000 columns is not supported")
     if len({r[0] for r in rows}) < len(rows):
