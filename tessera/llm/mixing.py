@@ -1,7 +1,7 @@
 """Mixing sources to target shares by systematic sampling.
 
 Sizes are tokens. A source's rate is the expected number of copies of each of its documents: its target divided by its
-tokens, at most ``max_repeats``. The documents of a source stand in a fixed order (size class, then seeded hash), their
+tokens, at most ``max_repeats``. The documents of a source stand in a fixed order (size class, block by seeded hash, size), their
 expected copies are summed up along it, one random offset is added, and a document is emitted once per integer
 crossed. So a document appears floor(rate) or ceil(rate) times, never more than ``max_repeats``, and ordering by size
 class keeps the emitted tokens close to the target.
@@ -53,12 +53,12 @@ def mix(sized: DataFrame, targets: DataFrame, seed: int = 7, block_rows: int = B
     )
     blocks = min(MAX_BLOCKS, max(1, math.ceil(sized.count() / block_rows)))
     mark = F.xxhash64(F.lit(seed), "doc_id")
-    placed = docs.withColumn("_mark", mark).withColumn("_class", F.floor(F.log2(F.col("n_tokens") + F.lit(1.0))).cast("int")).withColumn("_block", F.pmod("_mark", F.lit(blocks)).cast("int"))
+    placed = docs.withColumn("_mark", mark).withColumn("_class", F.floor(4 * F.log2(F.coalesce("n_tokens", F.lit(0)) + F.lit(1.0))).cast("int")).withColumn("_block", F.pmod("_mark", F.lit(blocks)).cast("int"))
     counts = placed.groupBy("_key", "_class", "_block").agg(F.count("*").alias("_n"))
-    # At most sources x 40 size classes x MAX_BLOCKS rows, numbers only.
+    # At most sources x 160 size classes x MAX_BLOCKS rows, numbers only.
     along = Window.partitionBy("_key").orderBy("_class", "_block").rowsBetween(Window.unboundedPreceding, -1)
     firsts = counts.select("_key", "_class", "_block", F.coalesce(F.sum("_n").over(along), F.lit(0)).alias("_first"))
-    inside = Window.partitionBy("_key", "_class", "_block").orderBy("_mark", "doc_id")
+    inside = Window.partitionBy("_key", "_class", "_block").orderBy("n_tokens", "_mark", "doc_id")
     ranked = placed.withColumn("_rank", F.row_number().over(inside)).join(firsts, ["_key", "_class", "_block"]).join(rates.select("_key", "_source", "_rate", "_offset"), "_key")
     upto = F.col("_rate") * (F.col("_first") + F.col("_rank")) + F.col("_offset")
     before = F.col("_rate") * (F.col("_first") + F.col("_rank") - 1) + F.col("_offset")

@@ -109,4 +109,8 @@ QUERIES = {
     "p7_ids": p7_ids, "p7_roundtrip": p7_roundtrip, "p8_found": p8_found, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_restored": p9_restored,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "p5_found": """WITH l AS (SELECT upper(trim(document_type)) AS t, max_bytes FROM size_limits), m AS (SELECT doc_id, octet_length(encode(text)) AS b,
+      (SELECT arg_max(max_bytes, length(t)) FROM l WHERE t <> 'OTHER' AND starts_with(upper(trim(coalesce(document_type, ''))), t)) AS own FROM documents WHERE text IS NOT NULL)
+      SELECT doc_id FROM m WHERE b > coalesce(own, (SELECT max_bytes FROM l WHERE t = 'OTHER'))""",
+}

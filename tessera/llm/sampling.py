@@ -83,7 +83,7 @@ def sample(items: DataFrame, targets: DataFrame, seed: int = 11, bins: int = BIN
     (available < wanted).
     """
     cells = quotas(targets)
-    real = items.filter("item IS NOT NULL AND category IS NOT NULL AND company IS NOT NULL AND year IS NOT NULL")
+    real = items.select("item", "category", "company", "year").filter("item IS NOT NULL AND category IS NOT NULL AND company IS NOT NULL AND year IS NOT NULL")
     # The cells are a parameter table: below the broadcast threshold Catalyst ships them.
     inside = (F.col("_category") == F.col("category")) & F.col("year").between(F.col("first_year"), F.col("last_year"))
     placed = real.join(cells.select("cell", "_category", "first_year", "last_year", "cap"), inside).select(

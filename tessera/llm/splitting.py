@@ -100,7 +100,7 @@ def cut(data: bytes, max_bytes: int | None, overlap_bytes: int = 0) -> list[tupl
     near = max(1, fresh // 8)
     out, begin, done = [], 0, 0
     while n - begin > max_bytes:
-        lo, hi = done + least, begin + max_bytes
+        lo, hi = max(done + least, begin + overlap), begin + max_bytes
         k = int(np.searchsorted(marks, lo))
         at = int(marks[k]) if k < len(marks) and marks[k] <= hi else lo + int(np.argmin(hashes[lo - 1 : hi]))
         end = None
