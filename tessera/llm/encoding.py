@@ -159,8 +159,11 @@ _LATIN2 = re.compile("[A-Za-zêæóñ][³±¶¿¹¼](?=[a-zêæóñ])|[a-z][³±
 # Signs and capitals where only a small letter, a quotation mark or a dash can be: Mac, Windows and DOS text mixed up.
 _INSIDE = re.compile(
     "[a-z][Ž‡‰‹ˆ†…„˘˙˚¸·ıﬂ¢£¤¡‚ƒÀ-ÖØ-Þ](?=[a-z])|[a-z][Ž‡ÈËÅÕ](?=[\\s.,;'’])|nít\\b|[ty]ís\\b|(?<![A-Za-z])[ìÒ](?=[A-Z])|[.,a-z][îÓ](?=\\s)"
-    "|(?<![A-Za-z])ß(?=[†\\s0-9])|[ÄÛ](?=[0-9])|[†Ê][ñÐ]\\s|µ∑x"
+    "|(?<![A-Za-z])ß(?=[†\\s0-9])|[ÄÛ](?=[0-9])|[†Ê][ñÐ]\\s|µ∑x|[A-Za-z][Ÿ§](?=[a-z])|[a-z]Š(?=[a-z])|(?<=\\s)[ôÆÄ∂](?=\\s)|•;|i—n\\b|se–or"
+    "|(?<![A-Za-z])ÿ(?=[a-z])|∆(?=[a-z])|[A-Z][‹÷›](?=[A-Z])|ﬂ(?=[a-z‰])|(?<![A-Za-z])ø(?=[A-Z])"
 )
+# UTF-8 whose last byte was dropped, being undefined in Windows-1252: a closing quotation mark, a combining accent.
+_TRUNCATED = re.compile("â€(?![\\x80-\\uffff])|(?<=[A-Za-z])Ì(?![A-Za-z\\x80-\\uffff])")
 _SJIS_PAIR = re.compile("(?:[‚ƒ\x81]..?){2,}")
 
 # Letters by falling frequency; the first are far more common than the last.
@@ -386,6 +389,9 @@ def repair(text: str | None) -> Repair:
         if pattern.search(hints):
             out, n = _passages(out, pattern, fix)
             passages += n
+    if _TRUNCATED.search(hints):
+        out, n = _TRUNCATED.subn(lambda m: "”" if m.group() == "â€" else "\u0301", out)
+        passages += n
     if _C1.search(out):
         found = len(_C1.findall(out))
         out = _C1.sub(lambda m: m.group().encode("latin-1").decode("cp1252", "ignore") or m.group(), out)

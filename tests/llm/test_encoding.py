@@ -48,6 +48,7 @@ def test_garbled_texts_are_found_and_restored(text, written, read):
 
 
 def test_garbled_twice_by_reference_and_lost():
+    assert repair("â€œWe shippedâ€ and leftâ€").restored == "“We shipped” and left”" and repair("cafeÌ").restored == "cafe\u0301"
     assert repair(misread(misread("Größe — für", "utf-8", "cp1252"), "utf-8", "cp1252")).restored == "Größe — für"
     assert repair(misread(misread("Łódka über", "utf-8", "cp1252"), "utf-8", "cp1252")).restored == "Łódka über"
     r = repair("We can&#226;&#8364;&#8482;t and &#xE2;&#x20AC;&#x2122; but &#8217; and &#233;")
