@@ -6,12 +6,13 @@ their chains are replaced in one step, by naming the new files in a manifest tha
 the chains before or after, never a mixture, and a writer that dies leaves the old state.
 
 A raw change is (entity, attribute, at, seq, value, shown, ends): ``value`` is what is compared, ``shown`` what is kept,
-``seq`` orders changes of one day, and ``ends`` tells that the value was given up on that day (a former name) rather than
-held on it (a snapshot).
+``seq`` orders changes of one day. ``ends`` is false for a snapshot (the value was held on that day), true where the value was given
+up on that day (a former name), and null for a snapshot of an attribute whose changes are dated by the latter only.
 
 Defined results: changes with null entity, attribute, date or value take no part; a value equal to the one before
-starts no version, one that returns later does; repeated changes count once. Attributes with ``ends`` rows have one version
-before each of their dates and one after the last, which shows the value of the last snapshot.
+starts no version, one that returns later does; repeated changes count once. Chains with ``ends`` true or null have one version
+before each date on which a value ended and one after the last, which shows the value of the last snapshot; without such a date
+they have one version.
 Hot entities: changes are reduced to one per day and value before the shuffle, so a chain has at most as many rows as
 there are days and values a day, however many filings tell them.
 """
@@ -42,7 +43,8 @@ def build_chains(changes: DataFrame) -> DataFrame:
     once = distinct_changes(changes)
     chain = Window.partitionBy(*KEYS)
     in_order = chain.orderBy("at", "seq", "value")
-    marked = once.withColumn("_dated", F.max(F.col("ends").cast("int")).over(chain))
+    gone, ends = F.coalesce("ends", F.lit(False)), F.coalesce("ends", F.lit(True))
+    marked = once.withColumn("_dated", F.max(ends.cast("int")).over(chain))
     # Snapshots: a version begins where the value differs from the one before.
     starts = (
         marked.filter("_dated = 0")
@@ -51,9 +53,13 @@ def build_chains(changes: DataFrame) -> DataFrame:
         .select(*KEYS, F.col("at").alias("valid_from"), F.lead("at").over(in_order).alias("valid_to"), "value", "shown", F.row_number().over(in_order).alias("version"))
     )
     # Dated changes: one version ends on each date; snapshots only tell the value after the last.
-    last = F.max(F.when(~F.col("ends"), F.struct("at", "seq", "value", "shown"))).over(chain)
+    last = F.max(F.when(~gone, F.struct("at", "seq", "value", "shown")))
+    undated = (
+        marked.filter("_dated = 1").groupBy(*KEYS).agg(F.max(gone).alias("_gone"), last.alias("_last")).filter("NOT _gone")
+        .select(*KEYS, F.lit(1).alias("version"), F.lit(None).cast("date").alias("valid_from"), F.lit(None).cast("date").alias("valid_to"), F.col("_last.value").alias("value"), F.col("_last.shown").alias("shown"))
+    )
     dates = (
-        marked.filter("_dated = 1").withColumn("_last", last).filter("ends")
+        marked.filter("_dated = 1").withColumn("_last", last.over(chain)).filter("ends")
         .groupBy(*KEYS, "at").agg(F.min(F.struct("value", "shown")).alias("_old"), F.first("_last").alias("_last"))
     )
     by_date = chain.orderBy("at")
@@ -63,7 +69,7 @@ def build_chains(changes: DataFrame) -> DataFrame:
         F.col("at").alias("valid_from"), F.lit(None).cast("date").alias("valid_to"), F.col("_last.value").alias("value"), F.col("_last.shown").alias("shown"), (F.col("_k") + 1).alias("version")
     )
     versions = dated.select(*KEYS, F.explode(F.when(F.col("_next").isNull(), F.array(ended, running)).otherwise(F.array(ended))).alias("v"))
-    return starts.select(*KEYS, "version", "valid_from", "valid_to", "value", "shown").unionByName(
+    return starts.select(*KEYS, "version", "valid_from", "valid_to", "value", "shown").unionByName(undated).unionByName(
         versions.select(*KEYS, "v.version", "v.valid_from", "v.valid_to", "v.value", "v.shown")
     )
 

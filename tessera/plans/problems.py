@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.codes import bracket_code, plain_cik, real_text, squeezed, state_code, year_end
+from tessera.functions.codes import STATES, bracket_code, plain_cik, real_text, squeezed, state_code, year_end
 from tessera.functions.timeparse import normal_date
 from tessera.operators.history import CHANGE_COLUMNS, HistoryStore
 from tessera.operators.timestamps import normal_values
 from tessera.operators.wide import to_wide, wanted_columns, wide_cells
+from tessera.plans import time_sql
 from tessera.session import shared_dir, stored, table
 
 #: A filing processed more days after its filing date than this arrives as a late update of the history.
@@ -42,7 +43,8 @@ def company_changes(company_data: DataFrame, filings: DataFrame, former_names: D
     pairs = F.explode(F.array(*(F.struct(F.lit(k).alias("attribute"), F.col(k).alias("value")) for k in values)))
     snapshots = (
         said.join(dated.filter("at IS NOT NULL"), "filing_id").select("entity", "at", "arrived", "filing_id", pairs.alias("p")).filter("p.value IS NOT NULL")
-        .select("entity", "p.attribute", "at", F.col("filing_id").alias("seq"), "p.value", F.when(F.col("p.attribute") == "sic", F.lpad("p.value", 4, "0")).otherwise(F.col("p.value")).alias("shown"), F.lit(False).alias("ends"), "arrived")
+        .select("entity", "p.attribute", "at", F.col("filing_id").alias("seq"), "p.value", F.when(F.col("p.attribute") == "sic", F.lpad("p.value", 4, "0")).otherwise(F.col("p.value")).alias("shown"),
+                F.when(F.col("p.attribute") != "conformed_name", F.lit(False)).alias("ends"), "arrived")
     )
     names = (
         former_names.filter("filing_id IS NOT NULL").select("filing_id", normal_date(F.col("date_of_name_change")).alias("at"), squeezed(F.upper(F.col("former_name"))).alias("value"))
@@ -57,7 +59,7 @@ def company_changes(company_data: DataFrame, filings: DataFrame, former_names: D
 def company_history(spark: SparkSession, d: str) -> DataFrame:
     """Chains after a first load of what came in time and a batch of what came late, through the store."""
     changes = stored(company_changes(table(spark, d, "company_data"), table(spark, d, "filings"), table(spark, d, "former_names")))
-    late = F.coalesce(F.datediff("arrived", "at") > LATE_DAYS, F.lit(False)) & ~F.col("ends")
+    late = F.coalesce(F.datediff("arrived", "at") > LATE_DAYS, F.lit(False)) & ~F.coalesce("ends", F.lit(False))
     store = HistoryStore(spark, shared_dir(spark))
     store.apply(changes.filter(~late).select(*CHANGE_COLUMNS))
     store.apply(changes.filter(late).select(*CHANGE_COLUMNS))
@@ -89,6 +91,8 @@ _SPACES = "trim(regexp_replace(field_value, '\\s+', ' ', 'g'))"
 _KEY = "regexp_replace(lower({}), '[^a-z0-9]+', '', 'g')"
 
 SQL = {
+    "p1_found": time_sql.p1(STATES),
+    "p3_found": time_sql.P3,
     "p2_found": f"""WITH h AS (SELECT filing_id, {_KEY.format('section')} AS s, {_KEY.format('field_name')} AS f, occurrence, {_SPACES} AS v FROM header_fields WHERE filing_id IS NOT NULL AND regexp_matches({_SPACES}, '[A-Za-z0-9]')
       AND upper({_SPACES}) NOT IN ('N/A', 'NA', 'NONE', 'NULL', 'NIL', 'UNKNOWN', 'TBD', 'PENDING', 'VARIOUS', 'SOON', 'SEE NOTE', 'SEE HEADER', 'NOT AVAILABLE', 'NOT APPLICABLE')),
       w AS (SELECT {_KEY.format('section')} AS s, {_KEY.format('field_name')} AS f, column_name, data_type FROM wide_columns),

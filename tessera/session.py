@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from functools import lru_cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,12 +19,34 @@ DEFAULTS = {
 }
 
 
+@lru_cache(maxsize=16)
+def _package_zip() -> str:
+    """This package as a file on the driver, from where Spark hands it to the executors."""
+    root = Path(__file__).parent
+    path = Path(tempfile.mkdtemp(prefix="tessera-package-")) / "tessera.zip"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent).as_posix())
+    return str(path)
+
+
+@lru_cache(maxsize=16)
+def _ship(application: str) -> None:
+    SparkSession.active().sparkContext.addPyFile(_package_zip())
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Make the package importable on all executors, once per application, wherever they run and however it was started."""
+    _ship(spark.sparkContext.applicationId)
+    return spark
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A local session for tests and benchmarks."""
     builder = SparkSession.builder.master(f"local[{cpus}]").appName("tessera")
     for key, value in DEFAULTS.items():
         builder = builder.config(key, value)
-    return (
+    return ship(
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
@@ -32,7 +57,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
 
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     """One Parquet table of a data directory."""
-    return spark.read.parquet(f"{directory.rstrip('/')}/{name}.parquet")
+    return ship(spark).read.parquet(f"{directory.rstrip('/')}/{name}.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:

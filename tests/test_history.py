@@ -71,9 +71,12 @@ def test_dated_changes(spark):
     d = lambda k: dt.date(2010, 1, k)
     changes = [
         ("c", "name", d(5), "f1", "OLD", "Old", True), ("c", "name", d(5), "f2", "OLD", "OLD", True), ("c", "name", d(9), "f2", "MID", "MID", True),
-        ("c", "name", d(3), "f1", "OLD", "OLD", False), ("c", "name", d(12), "f3", "NEW", "New", False),
+        ("c", "name", d(3), "f1", "OLD", "OLD", None), ("c", "name", d(12), "f3", "NEW", "New", None),
     ]
-    out = build_chains(spark.createDataFrame(changes, SCHEMA)).orderBy("version")
+    changes += [("only", "name", d(3), "f1", "A", "A", None), ("only", "name", d(4), "f2", "B", "B", None)]  # names seen to differ, but no date told
+    once = build_chains(spark.createDataFrame(changes, SCHEMA))
+    assert rows(once.filter("entity = 'only'").select("version", "valid_from", "valid_to", "shown")) == [(1, None, None, "B")]
+    out = once.filter("entity = 'c'").orderBy("version")
     assert rows(out.select("version", "valid_from", "valid_to", "shown")) == [(1, None, d(5), "OLD"), (2, d(5), d(9), "MID"), (3, d(9), None, "New")]
 
 
