@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tessera.functions.codes import plain_cik
 from tessera.functions.timeparse import normal_date
 from tessera.llm import addresses, encoding, mixing, sampling, splitting, tokens
+from tessera.plans import time_sql
 from tessera.session import table
 
 #: A parameter table read by the driver has at most so many rows.
@@ -110,6 +111,7 @@ QUERIES = {
 }
 
 SQL: dict[str, str] = {
+    "p6_found": time_sql.P6,
     "p5_found": """WITH l AS (SELECT upper(trim(document_type)) AS t, max_bytes FROM size_limits), m AS (SELECT doc_id, octet_length(encode(text)) AS b,
       (SELECT arg_max(max_bytes, length(t)) FROM l WHERE t <> 'OTHER' AND starts_with(upper(trim(coalesce(document_type, ''))), t)) AS own FROM documents WHERE text IS NOT NULL)
       SELECT doc_id FROM m WHERE b > coalesce(own, (SELECT max_bytes FROM l WHERE t = 'OTHER'))""",
