@@ -50,7 +50,7 @@ def cik_or_null(c: Column) -> Column:
 
 def padded_cik(c: Column) -> Column:
     """Ten digits at least; longer values are never cut (``lpad`` would)."""
-    s = F.coalesce(c.cast("string"), F.lit(""))
+    s = strip(F.coalesce(c.cast("string"), F.lit("")))
     return F.when(F.length(s) < 10, F.lpad(s, 10, "0")).otherwise(s)
 
 
@@ -59,7 +59,7 @@ def form_key(c: Column) -> Column:
 
 
 def sanitize_filename(c: Column, max_len: int = 200) -> Column:
-    s = F.substring(F.regexp_replace(F.coalesce(c, F.lit("")), "[^A-Za-z0-9._-]+", "_"), 1, max_len)
+    s = F.substring(F.regexp_replace(strip(F.coalesce(c, F.lit(""))), "[^A-Za-z0-9._-]+", "_"), 1, max_len)
     return F.coalesce(F.nullif(F.regexp_replace(s, "^_+|_+$", ""), F.lit("")), F.lit("unknown"))
 
 
@@ -83,8 +83,8 @@ def index_url(year: Column, quarter: Column, root: str = "https://www.sec.gov/Ar
 
 def filing_path(form: Column, cik: Column, date_filed: Column, filename: Column, company: Column) -> Column:
     """``raw/<year>/<form>/<cik, ten digits>__<date>__<accession>__<company>.txt``."""
-    name = F.concat_ws("__", padded_cik(cik), date_filed, accession_of(filename), sanitize_filename(company, 80))
-    return F.concat_ws("/", F.lit("raw"), F.substring(date_filed, 1, 4), sanitize_filename(form, 40), F.concat(name, F.lit(".txt")))
+    name = F.concat_ws("__", padded_cik(cik), date_filed, accession_of(filename), sanitize_filename(company))
+    return F.concat_ws("/", F.lit("raw"), F.substring(date_filed, 1, 4), sanitize_filename(form), F.concat(name, F.lit(".txt")))
 
 
 def path_parts(c: Column) -> Column:
@@ -192,16 +192,17 @@ def filing_id(relpath: Column, accession: Column, cik: Column) -> Column:
 
 
 def human_bytes(n: Column) -> Column:
-    units = ("B", "KB", "MB", "GB", "TB", "PB")
-    out = F.lit(None).cast("string")
-    for k in range(len(units) - 1, -1, -1):
-        out = F.when(n < 1024.0 ** (k + 1), F.format_string("%.2f " + units[k], n / 1024.0**k)).otherwise(out if k < len(units) - 1 else F.format_string("%.2f " + units[k], n / 1024.0**k))
-    return out
+    units = ("B", "KB", "MB", "GB", "TB")
+    shown = [F.format_string(f"%.2f {u}", n / 1024.0**k) for k, u in enumerate(units)]
+    out = F.when(n < 1024.0, shown[0])
+    for k in range(1, len(units) - 1):
+        out = out.when(n < 1024.0 ** (k + 1), shown[k])
+    return F.when(n.isNotNull(), out.otherwise(shown[-1]))
 
 
 def elapsed_text(seconds: Column) -> Column:
-    s = seconds.cast("bigint")
-    return F.format_string("%02d:%02d:%02d", F.floor(s / 3600), F.floor(s / 60) % 60, s % 60)
+    s = seconds.cast("double")
+    return F.when(s < 60, F.format_string("%.1fs", s)).when(s < 3600, F.format_string("%.1fm", s / 60)).when(s.isNotNull(), F.format_string("%.2fh", s / 3600))
 
 
 def seeded_order(seed: int, *cols: Column) -> Column:

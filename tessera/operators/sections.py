@@ -125,3 +125,16 @@ def whole_text_chunks(docs: DataFrame, doc: str = "doc_id", text: str = "text",
     """The older way: documents without a usable section are chunked whole."""
     cut = docs.select(doc, F.posexplode(chunk_words(F.col(text), size, overlap)).alias("_at", "_c"))
     return cut.select(doc, F.lit("full_document").alias("source_name"), F.col("_at").cast("bigint").alias("chunk_index"), "_c.word_count", "_c.chunk_text")
+
+
+def chunks_or_whole(docs: DataFrame, sections: DataFrame, doc: str = "doc_id", text: str = "text", **kw: int) -> DataFrame:
+    """Chunks of the sections, and of the whole text for documents that have no section."""
+    size = {k: v for k, v in kw.items() if k in ("size", "overlap")}
+    rest = docs.join(sections.select(doc).distinct(), doc, "left_anti")
+    return chunks(sections, doc, **kw).unionByName(whole_text_chunks(rest, doc, text, **size))
+
+
+def route(chunked: DataFrame, chosen: DataFrame, doc: str = "doc_id", flag: str = "is_balanced") -> DataFrame:
+    """Chunks with 1 where their document is in the chosen set, so that one pass feeds both outputs."""
+    keys = chosen.select(F.col(doc).alias("_d")).distinct()
+    return chunked.join(keys, F.col(doc) == F.col("_d"), "left").withColumn(flag, F.col("_d").isNotNull().cast("int")).drop("_d")

@@ -26,3 +26,19 @@ def merge(current: DataFrame, batch: DataFrame, **names: str) -> DataFrame:
 def children_of(current_children: DataFrame, batch_children: DataFrame, ids: DataFrame) -> DataFrame:
     """Child rows after a batch: those of the filings in ``ids`` (the batch's) are replaced as a whole."""
     return current_children.join(ids.select("filing_id").distinct(), "filing_id", "left_anti").unionByName(batch_children)
+
+
+def publication(incoming: DataFrame, published: DataFrame, delete_raw: bool = False) -> DataFrame:
+    """What to do with parsed filings whose target may exist: ``action`` and the ``status`` to log.
+
+    ``published`` has source_relpath and source_sha256. The same content is a refresh (also after a run that died between
+    publishing and committing), other content is a conflict and is not written. Raw files may go only where it is safe.
+    """
+    there = published.groupBy(F.col("source_relpath").alias("_path")).agg(F.max("source_sha256").alias("_sha"))
+    j = incoming.join(there, F.col("source_relpath") == F.col("_path"), "left")
+    action = F.when(F.col("_path").isNull(), "publish").when(F.col("_sha").eqNullSafe(F.col("source_sha256")), "refresh").otherwise("conflict")
+    status = (
+        F.when(action == "conflict", "conflict").when(~F.coalesce("delete_safe", F.lit(False)), "processed_with_warnings_raw_retained")
+        .otherwise("processed_and_raw_deleted" if delete_raw else "processed_raw_retained")
+    )
+    return j.withColumn("action", action).withColumn("status", status).drop("_path", "_sha")
