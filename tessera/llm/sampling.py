@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 
 #: Bins of the priority histogram per cell.
 BINS = 4096
+#: Parts in which one company's reservoirs of all partitions are merged first.
+MERGE_PARTS = 16
 #: Rows a partition's reservoir gathers before it is trimmed again.
 TRIM_ROWS = 200_000
 _NO_CAP = 2**31 - 1
@@ -90,8 +92,11 @@ def sample(items: DataFrame, targets: DataFrame, seed: int = 11, bins: int = BIN
         "cell", "company", "item", F.xxhash64(F.lit(seed), "item").alias("priority"), F.lit(1).cast("bigint").alias("seen"), F.col("cap").cast("bigint").alias("cap")
     )
     partial = placed.mapInPandas(_reservoirs, placed.schema)
-    group = Window.partitionBy("cell", "company")
-    merged = partial.withColumn("_rank", F.row_number().over(group.orderBy("priority", "item")))
+    # Merged in two steps: a company with items in every partition first meets in MERGE_PARTS parts.
+    parts = Window.partitionBy("cell", "company", "_part").orderBy("priority", "item")
+    some = partial.withColumn("_part", F.pmod(F.xxhash64("item", F.lit("part")), F.lit(MERGE_PARTS))).withColumn("_rank", F.row_number().over(parts)).filter(F.col("_rank") <= F.col("cap"))
+    group = Window.partitionBy("cell", "company").orderBy("priority", "item")
+    merged = some.withColumn("_rank", F.row_number().over(group))
     counts = partial.groupBy("cell").agg(F.sum("seen").alias("seen"))
     capped = merged.filter(F.col("_rank") <= F.col("cap")).select("cell", "company", "item", "priority")
     capped = capped.withColumn("_bin", F.floor((F.shiftright("priority", 24).cast("double") + 2.0**39) / 2.0**40 * bins).cast("int"))
