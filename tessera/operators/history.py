@@ -81,8 +81,10 @@ class HistoryStore:
     raw batches and, per bucket, the batch whose chains are in force. Replaced files stay until :meth:`vacuum`.
     """
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = 16):
-        self.spark, self.path, self.buckets = spark, path.rstrip("/"), buckets
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None):
+        self.spark, self.path = spark, path.rstrip("/")
+        #: As many as a shuffle has partitions: a bucket is then what one task writes. Fixed by the first batch.
+        self.buckets = buckets or max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     # The manifest is a few bytes per bucket, read and written through Hadoop's file system of the path.
     def _fs(self, path: str):

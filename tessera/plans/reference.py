@@ -15,6 +15,7 @@ from tessera.operators import relational as R
 from tessera.operators import sections as X
 from tessera.operators import submission as P
 from tessera.operators.upsert import upsert_latest
+from tessera.plans import section_sql
 from tessera.session import table
 from tessera.sources import readers
 
@@ -289,26 +290,29 @@ def _sections(spark, d) -> DataFrame:
     return X.extract_sections(t, ["doc_id", "form_type"])
 
 
-_ITEM = "(?im)^\\s*item\\s+([0-9]{1,2}\\.[0-9]{2})\\b"
-
-
-@query(None)
+@query(f"{section_sql.SECTIONS} SELECT doc_id, form_type, section_name, section_rank::INTEGER AS section_rank, source_mode, length(s)::INTEGER AS n_chars, md5(s) AS section_md5 FROM a")
 def sections(spark, d):
     s = _sections(spark, d)
     return s.select("doc_id", "form_type", "section_name", "section_rank", "source_mode", F.length("section_text").alias("n_chars"), F.md5("section_text").alias("section_md5"))
 
 
-@query(None)
+@query(f"{section_sql.SECTIONS} SELECT form_type, section_name, count(*) AS section_count FROM a GROUP BY 1, 2")
 def section_coverage(spark, d):
     return _sections(spark, d).groupBy("form_type", "section_name").agg(F.count("*").alias("section_count"))
 
 
-@query(None)
+@query(f"{section_sql.SECTIONS}, c AS (SELECT doc_id, count(DISTINCT section_name) AS n_sections FROM a GROUP BY 1) SELECT n_sections, count(*) AS doc_count FROM c GROUP BY 1")
 def section_presence(spark, d):
     return R.presence_histogram(_sections(spark, d))
 
 
-@query(None)
+_PRIORITY = " ".join(f"WHEN '{n}' THEN {p}" for n, p in X.SECTION_PRIORITY.items())
+
+
+@query(f"""{section_sql.SECTIONS}, o AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY CASE section_name {_PRIORITY} ELSE {X.OTHER_PRIORITY} END, section_rank) AS k FROM a),
+  b AS (SELECT *, max(length(s) >= 500) OVER (PARTITION BY doc_id) AS ok FROM o WHERE k <= 3), w AS (SELECT doc_id, section_name, k, list_filter(regexp_split_to_array(s, {_SPACE}), lambda v: v <> '') AS w FROM b WHERE length(s) >= 500 OR (NOT ok AND k = 1)),
+  i AS (SELECT *, unnest(range(0, len(w), 300)) AS j FROM w WHERE len(w) > 0), c AS (SELECT doc_id, section_name, k, j, w[j + 1:j + 350] AS c FROM i)
+  SELECT doc_id, section_name AS source_name, row_number() OVER (PARTITION BY doc_id ORDER BY k, j) - 1 AS chunk_index, len(c)::BIGINT AS word_count, md5(array_to_string(c, ' ')) AS chunk_md5 FROM c WHERE len(c) >= 116""")
 def section_chunks(spark, d):
     return X.chunks(_sections(spark, d)).select("doc_id", "source_name", "chunk_index", "word_count", F.md5("chunk_text").alias("chunk_md5"))
 
@@ -383,11 +387,13 @@ def primary_documents(spark, d):
 
 
 def _quota_docs(spark, d) -> DataFrame:
-    return docs(spark, d).filter(F.col("form_type").isin(*FORMS)).dropDuplicates(["doc_id"])
+    """One row per filing; its repeated rows may lack the company, never the year or the form."""
+    q = docs(spark, d).filter(F.col("form_type").isin(*FORMS))
+    return q.groupBy("doc_id").agg(F.max("year").alias("year"), F.max("form_type").alias("form_type"), F.max("cik").alias("cik"))
 
 
 _TARGET = "(SELECT (count(DISTINCT doc_id) // 40)::BIGINT AS target FROM docs WHERE form_type IN " + CORE + ")"
-_QDOCS = f"{_DOCS}, qd AS (SELECT doc_id, any_value(year) AS year, any_value(form_type) AS form_type, min(cik) AS cik FROM docs WHERE form_type IN {CORE} GROUP BY 1)"
+_QDOCS = f"{_DOCS}, qd AS (SELECT doc_id, any_value(year) AS year, any_value(form_type) AS form_type, max(cik) AS cik FROM docs WHERE form_type IN {CORE} GROUP BY 1)"
 
 
 def _targets(spark, d) -> DataFrame:
@@ -396,11 +402,14 @@ def _targets(spark, d) -> DataFrame:
     return q.select("year").distinct().withColumn("target", F.lit(n).cast("bigint"))
 
 
-@query(f"""WITH {_QDOCS}, w(form_type, weight, ord) AS (VALUES ('10-K', 0.3, 0), ('10-Q', 0.3, 1), ('8-K', 0.3, 2), ('DEF 14A', 0.1, 3)), t AS {_TARGET},
+_ALLOCATION = f"""{_QDOCS}, w(form_type, weight, ord) AS (VALUES ('10-K', 0.3, 0), ('10-Q', 0.3, 1), ('8-K', 0.3, 2), ('DEF 14A', 0.1, 3)), t AS {_TARGET},
   a AS (SELECT year, form_type, count(*) AS available FROM qd GROUP BY 1, 2), f AS (SELECT a.*, weight, ord, target, least(round_even(target * weight, 0)::BIGINT, available) AS take FROM a JOIN w USING (form_type), t),
   m AS (SELECT *, greatest(target - sum(take) OVER (PARTITION BY year), 0) AS missing FROM f), s AS (SELECT *, unnest(range(1, available - take + 1)) AS k FROM m WHERE available > take),
-  r AS (SELECT year, form_type, row_number() OVER (PARTITION BY year ORDER BY k, weight DESC, available DESC, ord) AS n, missing FROM s), x AS (SELECT year, form_type, count(*) AS extra FROM r WHERE n <= missing GROUP BY 1, 2)
-  SELECT year, target, form_type, available, (take + coalesce(extra, 0))::BIGINT AS quota FROM m LEFT JOIN x USING (year, form_type)""")
+  r AS (SELECT year, form_type, row_number() OVER (PARTITION BY year ORDER BY k, weight DESC, available DESC, ord) AS n, missing FROM s), x AS (SELECT year, form_type, count(*) AS extra FROM r WHERE n <= missing GROUP BY 1, 2),
+  quotas AS (SELECT year, target, form_type, available, (take + coalesce(extra, 0))::BIGINT AS quota FROM m LEFT JOIN x USING (year, form_type))"""
+
+
+@query(f"WITH {_ALLOCATION} SELECT * FROM quotas")
 def form_allocation(spark, d):
     have = _quota_docs(spark, d).groupBy("year", "form_type").agg(F.count("*").alias("available"))
     return Q.allocate(have.join(_targets(spark, d), "year"), Q.parse_weights(None))
@@ -408,7 +417,7 @@ def form_allocation(spark, d):
 
 @query(f"""WITH {_QDOCS} SELECT doc_id, year, form_type, cik FROM qd QUALIFY row_number() OVER (PARTITION BY year, form_type, cik ORDER BY md5('{SEED}|' || doc_id), doc_id) <= 5""")
 def company_cap(spark, d):
-    ids = docs(spark, d).filter(F.col("form_type").isin(*FORMS)).groupBy("doc_id").agg(F.min("year").alias("year"), F.min("form_type").alias("form_type"), F.min("cik").alias("cik"))
+    ids = docs(spark, d).filter(F.col("form_type").isin(*FORMS)).groupBy("doc_id").agg(F.min("year").alias("year"), F.min("form_type").alias("form_type"), F.max("cik").alias("cik"))
     return Q.cap_per_company(ids, 5, SEED)
 
 
@@ -421,11 +430,12 @@ def quota_sample(spark, d):
 @query(f"""WITH {_QDOCS}, k AS (SELECT *, row_number() OVER (PARTITION BY year, cik ORDER BY md5('{SEED}|' || doc_id), doc_id) AS turn FROM qd)
   SELECT doc_id, year, cik, turn FROM k QUALIFY row_number() OVER (PARTITION BY year ORDER BY turn, md5('{SEED}|' || cik), cik) <= 30""")
 def round_robin(spark, d):
-    ids = docs(spark, d).filter(F.col("form_type").isin(*FORMS)).groupBy("doc_id").agg(F.min("year").alias("year"), F.min("cik").alias("cik"))
+    ids = docs(spark, d).filter(F.col("form_type").isin(*FORMS)).groupBy("doc_id").agg(F.min("year").alias("year"), F.max("cik").alias("cik"))
     return Q.round_robin(ids, ids.select("year").distinct().withColumn("quota", F.lit(30)), ["year"], SEED, "doc_id").select("doc_id", "year", "cik", "turn")
 
 
-@query(None)
+@query(f"""WITH {_ALLOCATION}, c AS (SELECT * FROM qd QUALIFY row_number() OVER (PARTITION BY year, form_type, cik ORDER BY md5('{SEED}|' || doc_id), doc_id) <= 5),
+  n AS (SELECT *, row_number() OVER (PARTITION BY year, form_type ORDER BY md5('{SEED + 1}|' || doc_id), doc_id) AS n FROM c) SELECT doc_id, year, form_type, cik FROM n JOIN quotas USING (year, form_type) WHERE n <= quota""")
 def balanced_set(spark, d):
     return Q.balanced(_quota_docs(spark, d), _targets(spark, d), Q.parse_weights(None), 5, SEED).select("doc_id", "year", "form_type", "cik")
 
