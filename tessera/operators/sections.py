@@ -138,3 +138,17 @@ def route(chunked: DataFrame, chosen: DataFrame, doc: str = "doc_id", flag: str
     """Chunks with 1 where their document is in the chosen set, so that one pass feeds both outputs."""
     keys = chosen.select(F.col(doc).alias("_d")).distinct()
     return chunked.join(keys, F.col(doc) == F.col("_d"), "left").withColumn(flag, F.col("_d").isNotNull().cast("int")).drop("_d")
+
+
+def document_chunks(docs: DataFrame, keys: list[str], form: str = "form_type", text: str = "text", size: int = 350, overlap: int = 50, k: int = 3, min_chars: int = 500) -> DataFrame:
+    """As :func:`extract_sections` and :func:`chunks` together, but inside each row: no text is shuffled.
+
+    Use this where the sections are not needed as a table of their own.
+    """
+    ranked = F.array_sort(F.transform(sections_of(F.col(form), F.col(text)), lambda s: F.struct(priority(s["section_name"]).alias("p"), s["section_rank"].alias("r"), s.alias("s"))))
+    best = docs.select(*keys, F.slice(ranked, 1, k).alias("_best"))
+    chosen = best.select(*keys, "_best", F.filter("_best", lambda b: F.length(b["s"]["text"]) >= min_chars).alias("_long"))
+    picked = chosen.select(*keys, F.when(F.size("_long") > 0, F.col("_long")).otherwise(F.slice("_best", 1, 1)).alias("_picked"))
+    one = lambda b: F.transform(chunk_words(b["s"]["text"], size, overlap), lambda c: F.struct(b["s"]["section_name"].alias("source_name"), c["word_count"].alias("word_count"), c["chunk_text"].alias("chunk_text")))
+    cut = picked.select(*keys, F.posexplode(F.flatten(F.transform("_picked", one))).alias("_at", "_c"))
+    return cut.select(*keys, "_c.source_name", F.col("_at").cast("bigint").alias("chunk_index"), "_c.word_count", "_c.chunk_text")

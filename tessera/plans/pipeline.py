@@ -40,5 +40,5 @@ def text_products(files: DataFrame, universe: DataFrame, weights: dict[str, floa
     return {
         "docs": docs, "sections": cut, "coverage": relational.coverage(kept), "section_coverage": cut.groupBy("year", "form_type", "section_name").agg(F.count("*").alias("section_count")),
         "length_stats": relational.length_stats(kept, "form_type", "clean_text_words"), "duplicates": relational.duplicate_keys(kept), "presence": relational.presence_histogram(cut),
-        "balanced": balanced, "chunks": sections.route(sections.chunks(cut), balanced),
+        "balanced": balanced, "chunks": sections.route(sections.document_chunks(kept, ["doc_id"], text="clean_text"), balanced),
     }

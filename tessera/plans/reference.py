@@ -314,7 +314,8 @@ _PRIORITY = " ".join(f"WHEN '{n}' THEN {p}" for n, p in X.SECTION_PRIORITY.items
   i AS (SELECT *, unnest(range(0, len(w), 300)) AS j FROM w WHERE len(w) > 0), c AS (SELECT doc_id, section_name, k, j, w[j + 1:j + 350] AS c FROM i)
   SELECT doc_id, section_name AS source_name, row_number() OVER (PARTITION BY doc_id ORDER BY k, j) - 1 AS chunk_index, len(c)::BIGINT AS word_count, md5(array_to_string(c, ' ')) AS chunk_md5 FROM c WHERE len(c) >= 116""")
 def section_chunks(spark, d):
-    return X.chunks(_sections(spark, d)).select("doc_id", "source_name", "chunk_index", "word_count", F.md5("chunk_text").alias("chunk_md5"))
+    t = table(spark, d, "documents").withColumn("form_type", S.form_key(F.col("document_type")))
+    return X.document_chunks(t, ["doc_id"]).select("doc_id", "source_name", "chunk_index", "word_count", F.md5("chunk_text").alias("chunk_md5"))
 
 
 @query(f"""WITH p AS (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(coalesce(text, ''), '\\n{{2,}}'), lambda p: regexp_replace(p, '^' || {_SPACE} || '|' || {_SPACE} || '$', '', 'g')), lambda p: length(p) >= 250)[1:20] AS ps FROM documents)
