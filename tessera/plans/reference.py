@@ -16,7 +16,7 @@ from tessera.operators import sections as X
 from tessera.operators import submission as P
 from tessera.operators.upsert import upsert_latest
 from tessera.plans import section_sql
-from tessera.session import table
+from tessera.session import spread, table
 from tessera.sources import readers
 
 FORMS = list(S.FORM_ORDER)
@@ -70,6 +70,11 @@ def docs(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def texts(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """Documents for work that is heavy per text."""
+    return spread(table(spark, d, "documents").select("doc_id", "text", *columns))
+
+
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
@@ -149,7 +154,7 @@ def duplicate_accessions(spark, d):
 @query(f"""SELECT form_type, count(*) AS docs, avg(n) AS avg_size, list_sort(list(n))[(count(*) // 2 + 1)::BIGINT] AS median_size FROM
   (SELECT {_form('document_type')} AS form_type, len(regexp_extract_all(coalesce(text, ''), '[\\p{{L}}\\p{{M}}\\p{{Nd}}\\p{{Nl}}\\p{{Pc}}\\x{{200c}}\\x{{200d}}]+'))::BIGINT AS n FROM documents) GROUP BY 1""")
 def length_stats(spark, d):
-    return R.length_stats(table(spark, d, "documents").select(S.form_key(F.col("document_type")).alias("form_type"), S.count_words(F.col("text")).alias("n_words")))
+    return R.length_stats(texts(spark, d, "document_type").select(S.form_key(F.col("document_type")).alias("form_type"), S.count_words(F.col("text")).alias("n_words")))
 
 
 def _year_counts(spark, d) -> DataFrame:
@@ -267,12 +272,12 @@ _SPACE = "'[\\s\\x0b\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{202
 
 @query(f"SELECT doc_id, len(regexp_extract_all(coalesce(text, ''), {_WORD}))::BIGINT AS n_words FROM documents")
 def word_counts(spark, d):
-    return table(spark, d, "documents").select("doc_id", S.count_words(F.col("text")).alias("n_words"))
+    return texts(spark, d).select("doc_id", S.count_words(F.col("text")).alias("n_words"))
 
 
 @query("SELECT doc_id, len(regexp_extract_all(lower(coalesce(text, '')), '\\bitem\\s+[0-9]{1,2}[a-z]?(\\.[0-9]{2})?\\b'))::BIGINT AS hints FROM documents")
 def section_hints(spark, d):
-    return table(spark, d, "documents").select("doc_id", S.section_hints(F.col("text")).alias("hints"))
+    return texts(spark, d).select("doc_id", S.section_hints(F.col("text")).alias("hints"))
 
 
 _WORDS = f"list_filter(regexp_split_to_array(coalesce(text, ''), {_SPACE}), lambda w: w <> '')"
@@ -281,12 +286,12 @@ _WORDS = f"list_filter(regexp_split_to_array(coalesce(text, ''), {_SPACE}), lamb
 @query(f"""WITH w AS (SELECT doc_id, {_WORDS} AS w FROM documents), s AS (SELECT doc_id, w, unnest(range(0, len(w), 300)) AS k FROM w), c AS (SELECT doc_id, k, w[k + 1:k + 350] AS c FROM s WHERE len(w) > 0)
   SELECT doc_id, (k // 300)::INTEGER AS chunk_index, len(c)::BIGINT AS word_count, md5(array_to_string(c, ' ')) AS chunk_md5 FROM c WHERE len(c) >= 116""")
 def word_chunks(spark, d):
-    cut = table(spark, d, "documents").select("doc_id", F.posexplode(X.chunk_words(F.col("text"))).alias("chunk_index", "c"))
+    cut = texts(spark, d).select("doc_id", F.posexplode(X.chunk_words(F.col("text"))).alias("chunk_index", "c"))
     return cut.select("doc_id", "chunk_index", "c.word_count", F.md5("c.chunk_text").alias("chunk_md5"))
 
 
 def _sections(spark, d) -> DataFrame:
-    t = table(spark, d, "documents").withColumn("form_type", S.form_key(F.col("document_type")))
+    t = texts(spark, d, "document_type").withColumn("form_type", S.form_key(F.col("document_type")))
     return X.extract_sections(t, ["doc_id", "form_type"])
 
 
@@ -314,20 +319,20 @@ _PRIORITY = " ".join(f"WHEN '{n}' THEN {p}" for n, p in X.SECTION_PRIORITY.items
   i AS (SELECT *, unnest(range(0, len(w), 300)) AS j FROM w WHERE len(w) > 0), c AS (SELECT doc_id, section_name, k, j, w[j + 1:j + 350] AS c FROM i)
   SELECT doc_id, section_name AS source_name, row_number() OVER (PARTITION BY doc_id ORDER BY k, j) - 1 AS chunk_index, len(c)::BIGINT AS word_count, md5(array_to_string(c, ' ')) AS chunk_md5 FROM c WHERE len(c) >= 116""")
 def section_chunks(spark, d):
-    t = table(spark, d, "documents").withColumn("form_type", S.form_key(F.col("document_type")))
+    t = texts(spark, d, "document_type").withColumn("form_type", S.form_key(F.col("document_type")))
     return X.document_chunks(t, ["doc_id"]).select("doc_id", "source_name", "chunk_index", "word_count", F.md5("chunk_text").alias("chunk_md5"))
 
 
 @query(f"""WITH p AS (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(coalesce(text, ''), '\\n{{2,}}'), lambda p: regexp_replace(p, '^' || {_SPACE} || '|' || {_SPACE} || '$', '', 'g')), lambda p: length(p) >= 250)[1:20] AS ps FROM documents)
   SELECT doc_id, length(array_to_string(ps, chr(10) || chr(10)))::INTEGER AS n_chars, md5(array_to_string(ps, chr(10) || chr(10))) AS section_md5 FROM p WHERE len(ps) > 0""")
 def fallback_sections(spark, d):
-    s = table(spark, d, "documents").select("doc_id", F.explode(X.fallback_section(F.coalesce("text", F.lit("")))).alias("s"))
+    s = texts(spark, d).select("doc_id", F.explode(X.fallback_section(F.coalesce("text", F.lit("")))).alias("s"))
     return s.select("doc_id", F.length("s.text").alias("n_chars"), F.md5("s.text").alias("section_md5"))
 
 
 @query(None)
 def cleaned_texts(spark, d):
-    clean = table(spark, d, "documents").select("doc_id", S.clean_text(F.col("text")).alias("t"))
+    clean = texts(spark, d).select("doc_id", S.clean_text(F.col("text")).alias("t"))
     return clean.select("doc_id", F.length("t").alias("n_chars"), F.md5("t").alias("text_md5"))
 
 
@@ -345,7 +350,7 @@ def _submission(document_type: Column, filename: Column, description: Column, te
 
 
 def _parsed(spark, d) -> DataFrame:
-    t = table(spark, d, "documents")
+    t = texts(spark, d, "document_type", "filename", "description", "cik")
     content = _submission(F.col("document_type"), F.col("filename"), F.col("description"), F.col("text"), F.coalesce("cik", F.lit("0")))
     return P.parse_submissions(t.select(F.concat(F.lit("raw/2020/8-K/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("relpath"), F.encode(content, "UTF-8").alias("content")))
 
@@ -378,7 +383,7 @@ def submission_errors(spark, d):
 
 @query("""SELECT doc_id, CASE WHEN text IS NULL THEN '' ELSE coalesce(trim(document_type), '') END AS doc_type FROM documents""")
 def primary_documents(spark, d):
-    t = table(spark, d, "documents")
+    t = texts(spark, d, "document_type", "filename", "description")
     text = _submission(F.col("document_type"), F.col("filename"), F.col("description"), F.col("text"), F.lit("1"))
     main = P.primary_document(text, F.lit("8-K"))
     return t.select("doc_id", F.when(F.col("text").isNull(), "").otherwise(main["type"]).alias("doc_type"))

@@ -60,6 +60,16 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{directory.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan for work that is heavy per row: where it has fewer splits than there are cores, its rows are dealt out to all.
+
+    A large input has more splits than cores and stays where it is read, without a shuffle. Give it the needed columns only.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df.repartition(cores) if splits < cores else df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A fresh folder below the one that all executors share.
 
