@@ -9,12 +9,17 @@ from tessera.functions.codes import plain_cik
 from tessera.functions.timeparse import normal_date
 from tessera.llm import addresses, encoding, mixing, sampling, splitting, tokens
 from tessera.plans import time_sql
-from tessera.session import table
+from tessera.session import spread, table
 
 #: A parameter table read by the driver has at most so many rows.
 MAX_PARAMETERS = 10_000
 
 
+def texts(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    """Documents for work that is heavy per text."""
+    return spread(table(spark, d, "documents").select("doc_id", "text", *columns))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     pairs, _, _ = addresses.place_pairs(table(spark, d, "addresses"))
     return pairs.select(F.col("a_id").alias("address_id_a"), F.col("b_id").alias("address_id_b"))
@@ -28,7 +33,7 @@ def _pieces(spark: SparkSession, d: str, with_text: bool) -> DataFrame:
     rows = table(spark, d, "size_limits").select("document_type", "max_bytes", "overlap_bytes").filter("document_type IS NOT NULL").limit(MAX_PARAMETERS + 1).collect()
     if len(rows) > MAX_PARAMETERS:
         raise ValueError(f"over {MAX_PARAMETERS} limits")
-    documents = table(spark, d, "documents")
+    documents = texts(spark, d, "relative_path", "document_type")
     return splitting.split(documents, ["doc_id", "relative_path"], "text", splitting.limits_of(F.col("document_type"), [tuple(r) for r in rows]), with_text)
 
 
@@ -65,13 +70,13 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", tokens.encode(F.col("text"), tokens.vocabulary(spark)).alias("ids"))
+    return texts(spark, d).select("doc_id", tokens.encode(F.col("text"), tokens.vocabulary(spark)).alias("ids"))
 
 
 def p7_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     """Per document: the number of ids, whether they decode to the text, and whether the spans of the tokens cover it."""
     words = tokens.vocabulary(spark)
-    coded = table(spark, d, "documents").select("doc_id", "text", tokens.encode_with_spans(F.col("text"), words).alias("t")).select("doc_id", "text", "t.*")
+    coded = texts(spark, d).select("doc_id", "text", tokens.encode_with_spans(F.col("text"), words).alias("t")).select("doc_id", "text", "t.*")
     end = F.coalesce(F.array_max("ends"), F.lit(0))
     return coded.select(
         "doc_id", F.size("ids").alias("n_ids"), (tokens.decode(F.col("ids"), words) == F.coalesce("text", F.lit(""))).alias("restored"),
@@ -81,7 +86,7 @@ def p7_roundtrip(spark: SparkSession, d: str) -> DataFrame:
 
 def _mix(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     targets = table(spark, d, "mix_targets")
-    sized = mixing.sized_documents(table(spark, d, "documents"), targets, tokens.count_tokens(F.col("text"), tokens.vocabulary(spark)))
+    sized = mixing.sized_documents(texts(spark, d, "source"), targets, tokens.count_tokens(F.col("text"), tokens.vocabulary(spark)))
     return mixing.mix(sized, targets)
 
 
@@ -98,11 +103,11 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_restored(spark: SparkSession, d: str) -> DataFrame:
-    return encoding.find_garbled(table(spark, d, "documents"), ["doc_id"])
+    return encoding.find_garbled(texts(spark, d), ["doc_id"])
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
-    return encoding.find_garbled(table(spark, d, "documents"), ["doc_id"], with_text=False).select("doc_id")
+    return encoding.find_garbled(texts(spark, d), ["doc_id"], with_text=False).select("doc_id")
 
 
 QUERIES = {
