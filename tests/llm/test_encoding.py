@@ -47,6 +47,41 @@ def test_garbled_texts_are_found_and_restored(text, written, read):
     assert r.restored == "A sound line first.\n\n" + text + "\n\nAnd one after it."
 
 
+# Sound in one language and impossible in another.
+SOUND_IN_ITS_LANGUAGE = [
+    "The París office of the company was closed. Luís and Solís are on the board.", "La empresa—la mayor del sector—vende en el mercado.", "Le maître d’hôtel est naïf dans l’œuvre que la société a créée.",
+    "Der Umsatz von Dušan Miloš in Skåne ist mit São Paulo gestiegen.", "El ingreso de McDonald’s en el año creció y la relación precio–valor es buena.", "O copo d’água da empresa não foi entregue no prazo.",
+]
+ACROSS = [
+    "The pension plan’s discount rate was 8.9% at year end.", "It’s the best year that we’ve had, and the company isn’t done.", "El año en que la producción de la región creció según el señor de la compañía.",
+    "En el año se pagaron los días del código.", "A produção da empresa não foi relatório de março com opções.", "Die Größe für das Geschäft ist höher als die Maßnahme über den Rückgang.",
+]
+PAIRS = [(a, b) for a in ("cp1252", "mac_roman", "cp850", "cp437") for b in ("cp1252", "mac_roman", "cp850", "cp437") if a != b and {a, b} != {"cp850", "cp437"}]
+
+
+@pytest.mark.parametrize("text", SOUND_IN_ITS_LANGUAGE)
+def test_names_and_dashes_stay(text):
+    assert repair(text) == (False, text, 0, False)
+
+
+@pytest.mark.parametrize("written, read", PAIRS)
+@pytest.mark.parametrize("text", ACROSS)
+def test_single_byte_mix_ups_of_every_pair(text, written, read):
+    try:
+        garbled = misread(text, written, read)
+    except UnicodeEncodeError:
+        return  # the encoding it was written in has no such character
+    r = repair("A sound line first.\n\n" + garbled)
+    assert r.garbled and not r.lost and r.restored == "A sound line first.\n\n" + text
+
+
+def test_an_apostrophe_after_any_letter_and_years():
+    for word in ("plan", "company", "lessor", "bank", "Registrant"):
+        assert repair(f"The {word}ís discount rate was 8.9% at year end.").restored == f"The {word}’s discount rate was 8.9% at year end."
+    assert repair("Las ventas del a–o fueron de dos millones en la zona.").restored == "Las ventas del año fueron de dos millones en la zona."
+    assert repair("The curve is ƒ(x) = µ·x² in the text.".encode("cp1252").decode("mac_roman")).garbled
+
+
 def test_garbled_twice_by_reference_and_lost():
     assert repair("â€œWe shippedâ€ and leftâ€").restored == "“We shipped” and left”" and repair("cafeÌ").restored == "cafe\u0301"
     assert repair(misread(misread("Größe — für", "utf-8", "cp1252"), "utf-8", "cp1252")).restored == "Größe — für"
