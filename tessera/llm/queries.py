@@ -9,7 +9,7 @@ from tessera.functions.codes import plain_cik
 from tessera.functions.timeparse import normal_date
 from tessera.llm import addresses, encoding, mixing, sampling, splitting, tokens
 from tessera.plans import time_sql
-from tessera.session import spread, table
+from tessera.session import spread, stored, table
 
 #: A parameter table read by the driver has at most so many rows.
 MAX_PARAMETERS = 10_000
@@ -99,7 +99,8 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
-    return _mix(spark, d)[1].filter("short").select("source")
+    # Written whole: of a plan that asks for ``short`` alone, Catalyst would drop the mixing.
+    return stored(_mix(spark, d)[1]).filter("short").select("source")
 
 
 def p9_restored(spark: SparkSession, d: str) -> DataFrame:

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import mixing, tokens
+from tessera.llm import mixing, queries, tokens
 
 pytestmark = pytest.mark.skipif(not os.path.exists(tokens.TOKENIZER), reason="no vocabulary here")
 TEXTS = [
@@ -85,3 +85,14 @@ def test_empty_mixes(spark):
     mixed, report = mixing.mix(sized, t)
     assert mixed.count() == 0 and report.select("available_tokens", "actual_share", "short").head() == (0, 0.0, True)
     assert mixing.mix(sized.filter("false"), t)[1].count() == 1 and mixing.mix(sized, t.filter("false"))[1].count() == 0
+
+
+def test_the_shortfalls_come_from_a_whole_mix(spark, tmp_path):
+    docs = [(k, "a" if k % 3 else "b", "word " * (k % 7)) for k in range(60)]
+    spark.createDataFrame(docs, "doc_id long, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    targets(spark, [("A", 50, 1, 100), ("b", 50, 2, 1_000_000)]).write.parquet(f"{tmp_path}/mix_targets.parquet")
+    found = queries.p8_found(spark, str(tmp_path))
+    written = spark.read.parquet(*found.inputFiles())
+    report = {x.source: x for x in written.collect()}
+    assert [x.source for x in found.collect()] == ["b"]
+    assert report["A"].mixed_tokens > 0 and abs(report["A"].actual_share + report["b"].actual_share - 1) < 1e-9
