@@ -9,7 +9,7 @@
    again and conflicting ones rejected, as are conflicting zips, states, cities, directions and street types.
 5. A record that leaves out the direction or the street type takes them from its neighbours: those of the same suite first, then
    the most frequent. Links whose completed forms conflict are dropped.
-6. Links are closed by passing on the smallest id ``ROUNDS`` times, and pairs of one label are checked once more.
+6. Links are closed by passing on the smallest id until no label changes, and pairs of one label are checked once more.
 
 Places are buildings or boxes: suite, floor and addressee do not matter, but for step 5. Every hash holds the house number and the street,
 so no group is larger than the spellings of one place and its look-alikes; the pairs of one place are the result itself.
@@ -32,8 +32,6 @@ from tessera.llm.addressing import deletions, read_place
 from tessera.session import stored
 
 FIELDS = ["street1", "street2", "city", "state", "postal_code"]
-#: Passes of the smallest id over the links: places are nearly cliques, two would do.
-ROUNDS = 3
 
 _FORM = T.StructType(
     [T.StructField("id", T.LongType()), T.StructField("copies", T.LongType()), T.StructField("box", T.BooleanType())]
@@ -132,15 +130,18 @@ def completed(read: DataFrame, links: DataFrame) -> DataFrame:
     return out.withColumn("direction", F.coalesce("_best.direction", "direction")).withColumn("kind", F.coalesce("_best.kind", "kind")).drop("_best")
 
 
-def labels(read: DataFrame, links: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(id, label): the smallest id reached over the links."""
+def labels(read: DataFrame, links: DataFrame) -> DataFrame:
+    """(id, label): the smallest id of the component. Each round is written; places are nearly cliques, so there are few."""
     edges = links.select(F.col("a_id").alias("x"), F.col("b_id").alias("y"))
     edges = edges.unionByName(edges.select(F.col("y").alias("x"), F.col("x").alias("y")))
     now = read.select("id", F.col("id").alias("label"))
-    for _ in range(rounds):
-        heard = edges.join(now, edges["y"] == now["id"]).select(F.col("x").alias("id"), "label")
-        now = now.unionByName(heard).groupBy("id").agg(F.min("label").alias("label"))
-    return now
+    while True:
+        heard = edges.join(now, edges["y"] == now["id"]).select(F.col("x").alias("id"), "label", F.lit(None).cast("bigint").alias("before"))
+        told = now.select("id", "label", F.col("label").alias("before")).unionByName(heard)
+        new = stored(told.groupBy("id").agg(F.min("label").alias("label"), F.max("before").alias("before")))
+        now = new.select("id", "label")
+        if new.filter("label <> before").isEmpty():
+            return now
 
 
 def place_pairs(addresses: DataFrame, key: str = "address_id") -> tuple[DataFrame, DataFrame, DataFrame]:

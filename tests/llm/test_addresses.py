@@ -57,3 +57,11 @@ def test_pairs(spark):
     places = {r.address_id: r.place for r in addresses.places(df).collect()}
     assert places == {1: 1, 2: 1, 3: 1, 11: 1, 4: 4, 14: 4, 5: 5, 6: 6, 7: 7, 8: 8, 9: 8, 10: 10}
     assert addresses.place_pairs(df.filter("false"))[0].count() == 0
+
+
+def test_closure_of_a_long_chain(spark):
+    order = [1, 12, 3, 11, 5, 10, 7, 9, 2, 8]
+    read = spark.createDataFrame([(k,) for k in [*order, 20, 21]], "id long")
+    links = spark.createDataFrame([(min(p), max(p)) for p in [*zip(order, order[1:]), (20, 21)]], "a_id long, b_id long")
+    assert {r.id: r.label for r in addresses.labels(read, links).collect()} == {**dict.fromkeys(order, 1), 20: 20, 21: 20}
+    assert addresses.labels(read, links.filter("false")).filter("id <> label").count() == 0
