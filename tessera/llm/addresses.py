@@ -4,7 +4,8 @@
 2. Each is read into a normalised form (:mod:`tessera.llm.addressing`) and expanded: street names with each one letter left out
    (words one edit or one swap apart share a form), cities likewise.
 3. Component combinations are hashed and exploded: (number, street form, zip) and (number, either end of the street, zip) always; (number, street form, city), (number, street, city
-   form) and (number, street form, state) are asked only by records without a zip, since two zips decide by themselves.
+   form) and (number, street form, state) are asked only by records without a zip, since two zips decide by themselves. The same
+   again with the street left out, for two misspelled records: the names of such a pair are compared letter by letter.
 4. An equi-join on any shared hash gives candidates. The house (or box) number is part of every hash; the numbers are compared
    again and conflicting ones rejected, as are conflicting zips, states, cities, directions and street types.
 5. A record that leaves out the direction or the street type takes them from its neighbours: those of the same suite first, then
@@ -32,6 +33,8 @@ from tessera.llm.addressing import deletions, read_place
 from tessera.session import stored
 
 FIELDS = ["street1", "street2", "city", "state", "postal_code"]
+#: Letters of a street name in which two errors are told from another name.
+LONG_NAME = 8
 
 _FORM = T.StructType(
     [T.StructField("id", T.LongType()), T.StructField("copies", T.LongType()), T.StructField("box", T.BooleanType())]
@@ -54,7 +57,38 @@ def _hashes(p) -> tuple[list[int], list[int]]:
     wider = [h(*base, f, "city", p.city) for f in forms] + [h(*base, p.name, "town", c) for c in deletions(p.city)] if p.city else []
     if p.state:
         wider += [h(*base, f, "state", p.state) for f in forms]
-    return zips + wider, zips if p.zip5 else wider
+    narrow = [x | 1 for x in zips + wider], [x | 1 for x in (zips if p.zip5 else wider)]
+    if len(forms) == 1:  # no name that may be misspelled
+        return narrow
+    # The street left out: even hashes, whose pairs have to be near spellings (see ``_spelled_alike``).
+    zips = [h(*base, "any", "zip", p.zip5)] if p.zip5 else []
+    wider = [h(*base, "any", "town", c) for c in deletions(p.city)] if p.city else []
+    if p.state:
+        wider.append(h(*base, "any", "state", p.state))
+    return narrow[0] + [x & ~1 for x in zips + wider], narrow[1] + [x & ~1 for x in (zips if p.zip5 else wider)]
+
+
+def _edits(a: str, b: str) -> int:
+    """Letters changed, left out, added or swapped with the next between two names."""
+    before, last = [], list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row = [i]
+        for j, y in enumerate(b, 1):
+            best = min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (x != y))
+            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
+                best = min(best, before[j - 2] + 1)
+            row.append(best)
+        before, last = last, row
+    return last[-1]
+
+
+def spelled_alike(a: str, b: str) -> bool:
+    """Whether two names may be one with an error in each: only of long names two errors leave enough."""
+    shorter = min(len(a), len(b))
+    return a == b or shorter >= 5 and _edits(a, b) <= (2 if shorter >= LONG_NAME else 1)
+
+
+_spelled_alike = F.udf(spelled_alike, T.BooleanType(), useArrow=True)
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,11 +141,17 @@ def _packed(df: DataFrame, side: str) -> DataFrame:
 
 
 def candidate_links(read: DataFrame) -> DataFrame:
-    """(a, b) structs of records that share a hash and do not conflict, a.id < b.id."""
+    """(a, b) structs of records that share a hash and do not conflict, a.id < b.id.
+
+    Pairs that share no hash of the street's name (odd) are taken if their names are one but for an error in each.
+    """
     told = read.select(F.col("id").alias("to"), F.explode("told").alias("hash"))
     asked = read.select(F.col("id").alias("by"), F.explode("asked").alias("hash"))
-    pairs = told.join(asked, "hash").filter(F.col("to") != F.col("by")).select(F.least("to", "by").alias("a_id"), F.greatest("to", "by").alias("b_id")).distinct()
-    return pairs.join(_packed(read, "a"), "a_id").join(_packed(read, "b"), "b_id").filter(_same_place("a", "b", 3)).select("a", "b")
+    pairs = told.join(asked, "hash").filter(F.col("to") != F.col("by"))
+    pairs = pairs.groupBy(F.least("to", "by").alias("a_id"), F.greatest("to", "by").alias("b_id")).agg(F.max(F.col("hash").bitwiseAND(F.lit(1))).alias("named"))
+    agreeing = pairs.join(_packed(read, "a"), "a_id").join(_packed(read, "b"), "b_id").filter(_same_place("a", "b", 3))
+    near = agreeing.filter("named = 0").filter(_spelled_alike("a.name", "b.name"))
+    return agreeing.filter("named = 1").select("a", "b").unionByName(near.select("a", "b"))
 
 
 def completed(read: DataFrame, links: DataFrame) -> DataFrame:

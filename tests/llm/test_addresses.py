@@ -65,3 +65,15 @@ def test_closure_of_a_long_chain(spark):
     links = spark.createDataFrame([(min(p), max(p)) for p in [*zip(order, order[1:]), (20, 21)]], "a_id long, b_id long")
     assert {r.id: r.label for r in addresses.labels(read, links).collect()} == {**dict.fromkeys(order, 1), 20: 20, 21: 20}
     assert addresses.labels(read, links.filter("false")).filter("id <> label").count() == 0
+
+
+def test_two_misspelled_records_without_a_clean_one(spark):
+    data = [
+        (1, "1642 Juinperside Rd", None, "Calder", "TX", "42326"), (2, "1642 JUNIPERSIIDE RD", None, "CALDER", "TX", "42326"),  # ends differ too
+        (3, "77 Tanagermor Rd", None, "Ostledale", "IL", "63110"), (4, "77 TNAAGERMOOR RD", None, "Ostledale", None, None),  # no zip, no state
+        (5, "88 Foundryrigde Ln", None, "Merowfield", None, None), (6, "88 FOUNDRYRIDGE LN", None, "Merrowfield", "PA", "83931"),  # street and city
+        (7, "12 CEDAR ST", None, "CALDER", "TX", "42326"), (8, "12 CIDER ST", None, "CALDER", "TX", "42326"), (9, "12 CENTER ST", None, "CALDER", "TX", "42326"),
+        (10, "1642 JUNIPERDALE RD", None, "OTHER", "NY", "10001"), (11, "1642 UNIPERSIDE RD", None, "OTHER", "NY", "10001"),  # other names
+    ]
+    pairs, _, _ = addresses.place_pairs(spark.createDataFrame(data, SCHEMA))
+    assert sorted(rows(pairs)) == [(1, 2), (3, 4), (5, 6)]
