@@ -10,11 +10,11 @@ A raw change is (entity, attribute, at, seq, value, shown, ends): ``value`` is w
 up on that day (a former name), and null for a snapshot of an attribute whose changes are dated by the latter only.
 
 Defined results: changes with null entity, attribute, date or value take no part; a value equal to the one before
-starts no version, one that returns later does; repeated changes count once. Chains with ``ends`` true or null have one version
+starts no version, one that returns later does, also on the same day; repeated changes count once. Chains with ``ends`` true or null have one version
 before each date on which a value ended and one after the last, which shows the value of the last snapshot; without such a date
 they have one version.
-Hot entities: changes are reduced to one per day and value before the shuffle, so a chain has at most as many rows as
-there are days and values a day, however many filings tell them.
+Hot entities: exact repeats are dropped before the shuffle, and runs of equal values of one day, told by a shuffle by day, before a
+chain meets in one task. So a chain has at most as many rows as there are days and changes of value a day, however many filings tell them.
 """
 
 from __future__ import annotations
@@ -30,9 +30,18 @@ CHANGE_COLUMNS = [*KEYS, "at", "seq", "value", "shown", "ends"]
 
 
 def distinct_changes(changes: DataFrame) -> DataFrame:
-    """The changes that count, one per chain, day and value (partial aggregation before the shuffle)."""
+    """The changes that count, exact repeats once (partial aggregation before the shuffle); ends of a day have no order."""
     real = changes.filter("entity IS NOT NULL AND attribute IS NOT NULL AND at IS NOT NULL AND value IS NOT NULL")
-    return real.groupBy(*KEYS, "at", "value", "ends").agg(F.min("seq").alias("seq"), F.min("shown").alias("shown"))
+    turn = F.when(~F.coalesce("ends", F.lit(False)), F.col("seq")).alias("_turn")
+    return real.groupBy(*KEYS, "at", "value", "ends", turn).agg(F.min("seq").alias("seq"), F.min("shown").alias("shown")).drop("_turn")
+
+
+def day_runs(once: DataFrame) -> DataFrame:
+    """The first of each run of equal values of a day, shown as the smallest of that day and value."""
+    day = [*KEYS, "at", "ends"]
+    told = once.withColumn("_previous", F.lag("value").over(Window.partitionBy(*day).orderBy("seq", "value")))
+    told = told.withColumn("shown", F.min("shown").over(Window.partitionBy(*day, "value")))
+    return told.filter("_previous IS NULL OR _previous <> value").drop("_previous")
 
 
 def build_chains(changes: DataFrame) -> DataFrame:
@@ -40,7 +49,7 @@ def build_chains(changes: DataFrame) -> DataFrame:
 
     ``valid_to`` is exclusive and null for the version in force; ``valid_from`` is null where a first version's begin is unknown.
     """
-    once = distinct_changes(changes)
+    once = day_runs(distinct_changes(changes))
     chain = Window.partitionBy(*KEYS)
     in_order = chain.orderBy("at", "seq", "value")
     gone, ends = F.coalesce("ends", F.lit(False)), F.coalesce("ends", F.lit(True))

@@ -97,3 +97,16 @@ def test_values_are_compared_by_meaning(spark):
     )
     out = rows(df.select(bracket_code(F.col("sic")), state_code(F.col("st")), year_end(F.col("fy")), plain_cik(F.col("cik"))))
     assert out == [("100", "DE", "1231", "20187")] * 3 + [(None, None, None, None)] * 3
+
+
+def test_values_that_return_on_one_day(spark):
+    day, later = dt.date(2010, 1, 1), dt.date(2010, 2, 1)
+    changes = [("c", "sic", day, f"f{k}", v, v, False) for k, v in enumerate("AABBA")] + [("c", "sic", later, "f7", "B", "B", False)]
+    changes += [("c", "name", day, f"f{k}", v, v, None) for k, v in enumerate("ABA")]
+    once = found(build_chains(spark.createDataFrame(changes + changes[:3], SCHEMA)))
+    assert {x for x in once if x[1] == "sic"} == brute(changes[:6])
+    assert {x for x in once if x[1] == "name"} == {("c", "name", 1, "A", None, None)}
+    store = HistoryStore(spark, shared_dir(spark), buckets=2)
+    for part in (changes[::2], changes[1::2]):
+        store.apply(spark.createDataFrame(part, SCHEMA))
+    assert found(store.chains()) == once
