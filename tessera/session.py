@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 import zipfile
@@ -61,26 +63,53 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """A scan for work that is heavy per row: where it has fewer splits than there are cores, its rows are dealt out to all.
+    """A scan for work that is heavy per row, dealt out to at least ``spark.tessera.minSplits`` tasks where the session sets that.
 
-    A large input has more splits than cores and stays where it is read, without a shuffle. Give it the needed columns only.
+    Unset (the default), rows stay where they are read, without a shuffle, at every size. A machine whose tables are single small files
+    sets it to its cores. Give it the needed columns only.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
-    return df.repartition(cores) if splits < cores else df
+    least = int(df.sparkSession.conf.get("spark.tessera.minSplits", "0"))
+    return df.repartition(least) if least else df
+
+
+_written: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
     """A fresh folder below the one that all executors share.
 
-    The cluster names it in ``spark.checkpoint.dir``; only where that is unset (tests, one machine)
-    is a temporary folder of this machine used.
+    The cluster names it in ``spark.checkpoint.dir``; on a cluster it is an error to leave that unset. Only a local
+    master (tests, one machine) falls back to a temporary folder. All folders of an application lie in one, which :func:`drop_stored` deletes.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tessera-")
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/tessera-{uuid.uuid4().hex}"
+    own = f"{base.rstrip('/')}/tessera-{spark.sparkContext.applicationId}"
+    if own not in _written:
+        _written[own] = spark.sparkContext.applicationId
+        atexit.register(_drop_quietly, spark)
+    return f"{own}/{uuid.uuid4().hex}"
+
+
+def drop_stored(spark: SparkSession) -> None:
+    """Delete what this application wrote to the shared folder; also done when the driver ends in the ordinary way.
+
+    DataFrames that read it are of no use afterwards.
+    """
+    if spark.sparkContext._jsc is None:  # stopped before
+        return
+    for own in [k for k, a in _written.items() if a == spark.sparkContext.applicationId]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(own)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        del _written[own]
+
+
+def _drop_quietly(spark: SparkSession) -> None:
+    with contextlib.suppress(Exception):  # the JVM may have gone first
+        drop_stored(spark)
 
 
 def stored(df: DataFrame) -> DataFrame:
