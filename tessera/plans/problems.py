@@ -18,40 +18,38 @@ LATE_DAYS = 90
 
 
 def company_changes(company_data: DataFrame, filings: DataFrame, former_names: DataFrame) -> DataFrame:
-    """Raw changes of sic, state_of_incorporation, fiscal_year_end and conformed_name, with ``arrived``.
+    """Raw changes of sic, state_of_incorporation, fiscal_year_end and conformed_name, with ``late``.
 
     Snapshots are dated by the filing (filings not in ``filings`` or without date give none); former names by their own
-    date. Values are compared by meaning; placeholders and unreadable values are passed over. All joins are on
-    filing_id, which no filer shares, so a large filer is spread.
+    date. Both are late with the filing that tells them. Values are compared by meaning; placeholders and unreadable values are passed
+    over. All joins are on filing_id, which no filer shares, so a large filer is spread.
     """
     dated = (
         filings.filter("filing_id IS NOT NULL").select("filing_id", normal_date(F.col("filed_as_of_date")).alias("at"), F.to_date("processed_at_utc").alias("arrived"))
         .groupBy("filing_id").agg(F.max("at").alias("at"), F.min("arrived").alias("arrived"))
+        .select("filing_id", "at", F.coalesce(F.datediff("arrived", "at") > LATE_DAYS, F.lit(False)).alias("late"))
     )
-    name = squeezed(F.upper(real_text(F.col("conformed_name"))))
     values = {
         "sic": bracket_code(F.col("sic")),
         "state_of_incorporation": state_code(F.col("state_of_incorporation")),
         "fiscal_year_end": year_end(F.col("fiscal_year_end")),
-        "conformed_name": name,
+        "conformed_name": squeezed(F.upper(real_text(F.col("conformed_name")))),
     }
     said = (
         company_data.filter("filing_id IS NOT NULL").select("filing_id", plain_cik(F.col("cik")).alias("entity"), *(v.alias(k) for k, v in values.items()))
         .groupBy("filing_id").agg(F.max("entity").alias("entity"), *(F.max(k).alias(k) for k in values))
         .filter("entity IS NOT NULL")
     )
+    told = said.join(dated, "filing_id", "left").withColumn("late", F.coalesce("late", F.lit(False)))
     pairs = F.explode(F.array(*(F.struct(F.lit(k).alias("attribute"), F.col(k).alias("value")) for k in values)))
     snapshots = (
-        said.join(dated.filter("at IS NOT NULL"), "filing_id").select("entity", "at", "arrived", "filing_id", pairs.alias("p")).filter("p.value IS NOT NULL")
-        .select("entity", "p.attribute", "at", F.col("filing_id").alias("seq"), "p.value", F.when(F.col("p.attribute") == "sic", F.lpad("p.value", 4, "0")).otherwise(F.col("p.value")).alias("shown"),
-                F.when(F.col("p.attribute") != "conformed_name", F.lit(False)).alias("ends"), "arrived")
+        told.filter("at IS NOT NULL").select("entity", "at", F.col("filing_id").alias("source"), pairs.alias("p"), "late").filter("p.value IS NOT NULL")
+        .select("entity", "p.attribute", "at", "source", "p.value", F.when(F.col("p.attribute") != "conformed_name", F.lit(False)).alias("ends"), "late")
     )
     names = (
-        former_names.filter("filing_id IS NOT NULL").select("filing_id", normal_date(F.col("date_of_name_change")).alias("at"), squeezed(F.upper(F.col("former_name"))).alias("value"))
-        .filter("at IS NOT NULL").distinct()
-        .join(said.select("filing_id", "entity"), "filing_id").join(dated.select("filing_id", "arrived"), "filing_id", "left")
-        .select("entity", F.lit("conformed_name").alias("attribute"), "at", F.col("filing_id").alias("seq"), F.coalesce("value", F.lit("")).alias("value"),
-                F.col("value").alias("shown"), F.lit(True).alias("ends"), "arrived")
+        former_names.filter("filing_id IS NOT NULL").select("filing_id", normal_date(F.col("date_of_name_change")).alias("day"), F.coalesce(squeezed(F.upper(F.col("former_name"))), F.lit("")).alias("value"))
+        .filter("day IS NOT NULL").distinct().join(told.select("filing_id", "entity", "late"), "filing_id")
+        .select("entity", F.lit("conformed_name").alias("attribute"), F.col("day").alias("at"), F.col("filing_id").alias("source"), "value", F.lit(True).alias("ends"), "late")
     )
     return snapshots.unionByName(names)
 
@@ -59,10 +57,9 @@ def company_changes(company_data: DataFrame, filings: DataFrame, former_names: D
 def company_history(spark: SparkSession, d: str) -> DataFrame:
     """Chains after a first load of what came in time and a batch of what came late, through the store."""
     changes = stored(company_changes(table(spark, d, "company_data"), table(spark, d, "filings"), table(spark, d, "former_names")))
-    late = F.coalesce(F.datediff("arrived", "at") > LATE_DAYS, F.lit(False)) & ~F.coalesce("ends", F.lit(False))
     store = HistoryStore(spark, shared_dir(spark))
-    store.apply(changes.filter(~late).select(*CHANGE_COLUMNS))
-    store.apply(changes.filter(late).select(*CHANGE_COLUMNS))
+    store.apply(changes.filter("NOT late"))
+    store.apply(changes.filter("late"))
     return store.chains()
 
 
@@ -72,7 +69,8 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_history(spark: SparkSession, d: str) -> DataFrame:
-    return company_history(spark, d).select(F.col("entity").alias("cik"), "attribute", "version", "valid_from", "valid_to", F.col("shown").alias("value"))
+    shown = F.when(F.col("attribute") == "sic", F.when(F.length("value") < 4, F.lpad("value", 4, "0")).otherwise(F.col("value"))).otherwise(F.nullif("value", F.lit("")))
+    return company_history(spark, d).select(F.col("entity").alias("cik"), "attribute", "version", "valid_from", "valid_to", shown.alias("value"))
 
 
 def p2_wide(spark: SparkSession, d: str) -> DataFrame:
