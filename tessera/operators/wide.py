@@ -3,19 +3,22 @@
 1. Cells: names are matched to the wanted columns by letters and digits only, values are read by the
    column's type, and per entity and column the lowest occurrence with a fitting value wins. This is a partial
    aggregation before the shuffle, so one entity with a third of all rows costs a task nothing.
-2. Ordinals: entities fall by hash into ranges of about ``RANGE_ROWS``; the counts of the ranges, summed
-   up, give each range its first ordinal, and the rank of the entity in its range the rest.
-3. Stitching: per range, each attribute is written as one typed Arrow column whose slots are the ordinals of the
-   range, and the columns are put side by side by position. No join and no pivot over the entities.
+2. Ranges: entities fall by hash into ranges, one for each ``RANGE_BYTES`` of the input as the optimizer estimates its size, so that no pass
+   is spent on counting; a second shuffle sends each range to its own task (or, beyond ``MAX_TASKS`` ranges, several to one, in turn).
+3. Stitching: per range, each attribute is written as one typed Arrow column whose slots are the positions of the range's
+   entities, and the columns are put side by side by position. No join and no pivot over the entities.
+4. Ordinals: the stitched ranges are written; their lengths, summed up, give each its first ordinal, and the position in the range the rest.
 
 Defined results: an entity without any fitting cell has a row of nulls; null entities have none; a null occurrence
 counts last; equal occurrences take the smallest value; wanted columns without name or type are ignored; rows whose name is not wanted only make the entity known.
-Columns of the input other than the named ones are ignored, whatever their names.
+Columns of the input other than the named ones are ignored, whatever their names. Within a range entities stand in the order of their bytes.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +29,14 @@ from pyspark.sql import types as T
 
 from tessera.functions.codes import bracket_code, name_key, real_text
 from tessera.functions.timeparse import normal_date
-
-#: Entities of one ordinal range: a range of 4096 with 100 columns is a few MB.
-RANGE_ROWS = 4096
+from tessera.session import stored
+
+#: Bytes of the input (as stored) of one range.
+RANGE_BYTES = 8 << 20
+#: Tasks of the stitching; more ranges than that share tasks and are stitched one after the other.
+MAX_TASKS = 100_000
+#: The first ordinals are two numbers a range; up to so many ranges (16 MB) they are broadcast, beyond that joined by shuffle.
+BROADCAST_RANGES = 1_000_000
 #: A column's types: how it is stored.
 TYPES = {"string": T.StringType(), "bigint": T.LongType(), "date": T.DateType(), "code": T.StringType(), "digits": T.StringType()}
 _NO_OCCURRENCE = 2**62
@@ -84,52 +92,77 @@ def winning_cells(eav: DataFrame, spec: DataFrame, columns: list[str], entity: s
     return known.groupBy("entity", "slot").agg(best.alias("_best")).select("entity", "slot", "_best.cell")
 
 
-def _stitcher(columns: list[str], kinds: list[str], names: list[str]):
+def _stitched(key: int, rows: pa.Table, kinds: list[str], names: list[str]) -> pa.Table:
+    """The wide rows of one range: its number, position, entity and the typed columns."""
     arrow = {"bigint": pa.int64(), "date": pa.date32()}
-
-    def stitch(_key: tuple, rows: pa.Table) -> pa.Table:
-        coded = rows["entity"].combine_chunks().dictionary_encode()
-        order = pc.array_sort_indices(coded.dictionary)
-        n = len(order)
-        place = pc.array_sort_indices(order)  # rank of each distinct entity: its slot in this range
-        at = place.take(coded.indices).to_numpy()
-        slot, cell = rows["slot"].combine_chunks().fill_null(-1).to_numpy(), rows["cell"].combine_chunks()
-        first = rows["first"][0].as_py()
-        out = [pa.array(np.arange(first, first + n)), coded.dictionary.take(order)]
-        for k, kind in enumerate(kinds):
-            own = np.flatnonzero(slot == k)
-            where = np.full(n, -1)
-            where[at[own]] = own
-            column = cell.take(pa.array(where, mask=where < 0))
-            out.append(column.cast(arrow[kind]) if kind in arrow else column)
-        return pa.Table.from_arrays(out, names)
-
-    return stitch
-
-
-def to_wide(eav: DataFrame, spec: DataFrame, entity: str = "filing_id", range_rows: int = RANGE_ROWS) -> DataFrame:
+    coded = rows["entity"].combine_chunks().dictionary_encode()
+    order = pc.array_sort_indices(coded.dictionary)
+    n = len(order)
+    place = pc.array_sort_indices(order)  # rank of each distinct entity: its position in this range
+    at = place.take(coded.indices).to_numpy()
+    slot, cell = rows["slot"].combine_chunks().fill_null(-1).to_numpy(), rows["cell"].combine_chunks()
+    out = [pa.array(np.full(n, key, np.int32)), pa.array(np.arange(n)), coded.dictionary.take(order)]
+    for k, kind in enumerate(kinds):
+        own = np.flatnonzero(slot == k)
+        where = np.full(n, -1)
+        where[at[own]] = own
+        column = cell.take(pa.array(where, mask=where < 0))
+        out.append(column.cast(arrow[kind]) if kind in arrow else column)
+    return pa.Table.from_arrays(out, names)
+
+
+def _stitcher(kinds: list[str], names: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        now = None
+        for batch in batches:  # sorted by range
+            keys = batch.column(0).to_numpy()
+            for a, b in pairwise([0, *(np.flatnonzero(np.diff(keys)) + 1), len(keys)]):
+                if a == b:
+                    continue
+                if held and keys[a] != now:
+                    yield from _stitched(now, pa.Table.from_batches(held), kinds, names).to_batches(10_000)
+                    held = []
+                now = int(keys[a])
+                held.append(batch.slice(a, b - a))
+        if held:
+            yield from _stitched(now, pa.Table.from_batches(held), kinds, names).to_batches(10_000)
+
+    return run
+
+
+def _input_bytes(df: DataFrame) -> int:
+    """The size the optimizer estimates, without a job; where it has no estimate, rows are counted."""
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size if size < 1 << 60 else 100 * df.count()
+
+
+def to_wide(eav: DataFrame, spec: DataFrame, entity: str = "filing_id", ranges: int | None = None) -> DataFrame:
     """One row per entity: ``entity_ordinal`` (from 0, without gaps), the entity and the typed columns of ``spec``.
 
     ``eav`` has the entity, section, field_name, field_value, occurrence; ``spec`` has section, field_name, column_name,
-    data_type. An empty ``eav`` gives an empty table of the same schema.
+    data_type. An empty ``eav`` gives an empty table of the same schema. ``eav`` is read once.
     """
     wanted = wanted_columns(spec)
     columns, kinds = [c for c, _ in wanted], [k for _, k in wanted]
     if clash := {entity, "entity_ordinal"} & set(columns):
         raise ValueError(f"columns of the wide table clash with {sorted(clash)}")
-    about = eav.agg(F.approx_count_distinct(entity)).head()[0]
-    ranges = max(1, math.ceil(about / range_rows))
-    in_range = F.pmod(F.xxhash64("entity"), F.lit(ranges)).cast("int").alias("range")
-    ids = eav.filter(F.col(entity).isNotNull()).select(F.col(entity).alias("entity")).distinct()
-    # One row per range: a running sum over them is the only thing that is not spread.
-    sizes = ids.groupBy(in_range).agg(F.count("*").alias("n"))
-    running = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = sizes.select("range", F.coalesce(F.sum("n").over(running), F.lit(0)).alias("first"))
-    cells = winning_cells(eav, spec, columns, entity).select("*", in_range).join(firsts, "range")
-    schema = T.StructType(
-        [T.StructField("entity_ordinal", T.LongType()), T.StructField(entity, eav.schema[entity].dataType)] + [T.StructField(c, TYPES[k]) for c, k in wanted]
+    n = ranges or max(1, math.ceil(_input_bytes(eav) / RANGE_BYTES))
+    key = F.pmod(F.xxhash64("entity"), F.lit(n)).cast("int").alias("range")
+    cells = winning_cells(eav, spec, columns, entity).select(key, "entity", "slot", "cell")
+    tasks = min(n, MAX_TASKS)
+    in_place = cells.repartitionById(tasks, F.pmod("range", F.lit(tasks)).cast("int")).sortWithinPartitions("range")
+    # Columns go by number until the end, so that no name of ``spec`` can clash with the two of the range.
+    inner = T.StructType(
+        [T.StructField("_range", T.IntegerType()), T.StructField("_position", T.LongType()), T.StructField("_entity", eav.schema[entity].dataType)]
+        + [T.StructField(f"_c{k}", TYPES[kind]) for k, kind in enumerate(kinds)]
     )
-    return cells.groupBy("range").applyInArrow(_stitcher(columns, kinds, schema.names), schema)
+    pieces = stored(in_place.mapInArrow(_stitcher(kinds, inner.names), inner))
+    # One row per range: a running sum over them is the only thing that is not spread.
+    running = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = pieces.groupBy("_range").agg(F.count("*").alias("_n")).select("_range", F.coalesce(F.sum("_n").over(running), F.lit(0)).alias("_first"))
+    numbered = pieces.join(F.broadcast(firsts) if n <= BROADCAST_RANGES else firsts, "_range")
+    return numbered.select((F.col("_first") + F.col("_position")).alias("entity_ordinal"), F.col("_entity").alias(entity), *(F.col(f"_c{k}").alias(c) for k, c in enumerate(columns)))
 
 
 def wide_cells(wide: DataFrame, columns: list[str], entity: str = "filing_id") -> DataFrame:

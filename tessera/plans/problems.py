@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.codes import STATES, bracket_code, plain_cik, real_text, squeezed, state_code, year_end
+from tessera.functions.codes import PLACEHOLDERS, STATES, bracket_code, plain_cik, real_text, squeezed, state_code, year_end
 from tessera.functions.timeparse import normal_date
 from tessera.operators.history import CHANGE_COLUMNS, HistoryStore
 from tessera.operators.timestamps import normal_values
@@ -88,18 +88,32 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 _SPACES = "trim(regexp_replace(field_value, '\\s+', ' ', 'g'))"
 _KEY = "regexp_replace(lower({}), '[^a-z0-9]+', '', 'g')"
 
-SQL = {
-    "p1_found": time_sql.p1(STATES),
-    "p3_found": time_sql.P3,
-    "p2_found": f"""WITH h AS (SELECT filing_id, {_KEY.format('section')} AS s, {_KEY.format('field_name')} AS f, occurrence, {_SPACES} AS v FROM header_fields WHERE filing_id IS NOT NULL AND regexp_matches({_SPACES}, '[A-Za-z0-9]')
+_CELLS = f"""h AS (SELECT filing_id, {_KEY.format('section')} AS s, {_KEY.format('field_name')} AS f, occurrence, {_SPACES} AS v FROM header_fields WHERE filing_id IS NOT NULL AND regexp_matches({_SPACES}, '[A-Za-z0-9]')
       AND upper({_SPACES}) NOT IN ('N/A', 'NA', 'NONE', 'NULL', 'NIL', 'UNKNOWN', 'TBD', 'PENDING', 'VARIOUS', 'SOON', 'SEE NOTE', 'SEE HEADER', 'NOT AVAILABLE', 'NOT APPLICABLE')),
       w AS (SELECT {_KEY.format('section')} AS s, {_KEY.format('field_name')} AS f, column_name, data_type FROM wide_columns),
       c AS (SELECT filing_id, column_name, occurrence, CASE data_type WHEN 'string' THEN v
         WHEN 'bigint' THEN CASE WHEN regexp_matches(v, '^[0-9,]+$') THEN try_cast(replace(v, ',', '') AS BIGINT)::VARCHAR END
         WHEN 'date' THEN strftime(coalesce(try_strptime(v, '%Y%m%d'), try_strptime(v, '%Y-%m-%d'), try_strptime(v, '%m/%d/%Y')), '%Y-%m-%d')
         WHEN 'code' THEN nullif(ltrim(coalesce(nullif(regexp_extract(v, '\\[ *([0-9]+) *\\]', 1), ''), regexp_extract(v, '^([0-9]+)$', 1)), '0'), '')
-        WHEN 'digits' THEN CASE WHEN regexp_matches(v, '^[0-9 ./-]+$') THEN regexp_replace(v, '[^0-9]', '', 'g') END END AS cell_value FROM h JOIN w USING (s, f))
-      SELECT filing_id, column_name, arg_min(cell_value, (coalesce(occurrence, 9223372036854775807), cell_value)) AS cell_value FROM c WHERE cell_value IS NOT NULL GROUP BY 1, 2""",
+        WHEN 'digits' THEN CASE WHEN regexp_matches(v, '^[0-9 ./-]+$') THEN regexp_replace(v, '[^0-9]', '', 'g') END END AS cell_value FROM h JOIN w USING (s, f)),
+      cells AS (SELECT filing_id, column_name, arg_min(cell_value, (coalesce(occurrence, 9223372036854775807), cell_value)) AS cell_value FROM c WHERE cell_value IS NOT NULL GROUP BY 1, 2)"""
+# The columns of the wide table and how SQL types them.
+_WIDE = [
+    *((c, "VARCHAR") for c in (
+        "accession_number", "business_city", "business_state", "business_zip", "company_name", "file_number", "fiscal_year_end", "inc_state", "industry_code", "irs_number",
+        "mail_city", "mail_state", "mail_zip", "submission_type", "values_form",
+    )),
+    *((c, "BIGINT") for c in ("company_cik", "document_count", "film_number")), *((c, "DATE") for c in ("changed_on", "filed_on", "period_of_report")),
+]
+
+SQL = {
+    "p1_found": time_sql.p1(STATES, PLACEHOLDERS),
+    "p1_history": time_sql.p1_history(STATES, PLACEHOLDERS),
+    "p3_found": time_sql.P3,
+    "p2_found": f"WITH {_CELLS} SELECT filing_id, column_name, cell_value FROM cells",
+    # Below RANGE_BYTES there is one range, whose entities stand in order.
+    "p2_wide": f"""WITH {_CELLS}, ids AS (SELECT filing_id, row_number() OVER (ORDER BY filing_id) - 1 AS entity_ordinal FROM (SELECT DISTINCT filing_id FROM header_fields WHERE filing_id IS NOT NULL))
+      SELECT entity_ordinal, filing_id, {", ".join(f"max(CASE WHEN column_name = '{c}' THEN cell_value END)::{t} AS {c}" for c, t in _WIDE)} FROM ids LEFT JOIN cells USING (filing_id) GROUP BY 1, 2""",
 }
 
 QUERIES = {"p1_found": p1_found, "p1_history": p1_history, "p2_found": p2_found, "p2_wide": p2_wide, "p3_found": p3_found}

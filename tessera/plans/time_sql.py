@@ -1,4 +1,4 @@
-"""SQL that reads timestamps independently of the operators: fragments for the oracles of p1, p3 and p6.
+"""SQL that reads timestamps independently of the operators: fragments for the SQL of queries that need them.
 
 The rules are those of TESTDATA.md; daylight saving is computed from the law's Sundays. Years 1987 and later.
 """
@@ -44,29 +44,47 @@ P3 = f"""WITH {read_times("(SELECT filing_id, processed_at_utc, 'acceptance_date
   n AS (SELECT filing_id, field_name, processed_at_utc, CASE WHEN field_name = 'acceptance_datetime' THEN strftime(utc, '%Y-%m-%dT%H:%M:%SZ') ELSE strftime(day, '%Y-%m-%d') END AS v FROM t)
   SELECT filing_id, field_name, arg_max(v, (processed_at_utc, v)) AS normal_value FROM n WHERE v IS NOT NULL AND filing_id IS NOT NULL GROUP BY 1, 2"""
 
-_CIK = "nullif(ltrim(regexp_extract({}, '^[^0-9]*([0-9]+)[^0-9]*$', 1), '0'), '')"
+CIK = "nullif(ltrim(regexp_extract({}, '^[^0-9]*([0-9]+)[^0-9]*$', 1), '0'), '')"
 FILED = f"""{read_times('filings', 'filing_id', 'filed_as_of_date', 'ft')}, filed AS (SELECT filing_id, max(day) AS day FROM ft WHERE filing_id IS NOT NULL GROUP BY 1)"""
 
 
-def p1(states: dict[str, str]) -> str:
+def _history(states: dict[str, str], placeholders: tuple[str, ...]) -> str:
+    """CTEs: l (snapshots in order with the value before), nm (dated former names), lastname."""
     names = ", ".join(f"('{name}', '{code}')" for code, name in states.items())
     squeezed = "trim(regexp_replace(upper({}), '\\s+', ' ', 'g'))"
     months = "(position(left({0}, 3) IN 'JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC') + 2) // 3"
-    fy = squeezed.format("fiscal_year_end")
+    fy, name = squeezed.format("fiscal_year_end"), squeezed.format("conformed_name")
+    nothing = ", ".join(f"'{x}'" for x in placeholders)
     md = f"CASE WHEN regexp_matches({fy}, '^[A-Z]{{3}}[A-Z]* [0-9]{{1,2}}$') THEN lpad(({months.format(fy)})::VARCHAR, 2, '0') || lpad(regexp_extract({fy}, '[0-9]+$'), 2, '0') WHEN regexp_matches({fy}, '^-{{0,2}}[0-9]{{1,2}}[-/]?[0-9]{{2}}$') THEN lpad(regexp_replace({fy}, '[-/]', '', 'g'), 4, '0') END"
     code = "nullif(ltrim(coalesce(nullif(regexp_extract(sic, '\\[\\s*([0-9]+)\\s*\\]', 1), ''), regexp_extract(sic, '^\\s*([0-9]+)\\s*$', 1)), '0'), '')"
-    return f"""WITH {FILED}, s(name, code) AS (VALUES {names}),
-  c AS (SELECT filing_id, {_CIK.format('cik')} AS cik, {code} AS sic, coalesce(s1.code, s2.code) AS state, CASE WHEN try_strptime('2000' || ({md}), '%Y%m%d') IS NOT NULL THEN {md} END AS fy
+    return f"""{FILED}, s(name, code) AS (VALUES {names}),
+  c AS (SELECT filing_id, {CIK.format('cik')} AS cik, {code} AS sic, coalesce(s1.code, s2.code) AS state, CASE WHEN try_strptime('2000' || ({md}), '%Y%m%d') IS NOT NULL THEN {md} END AS fy,
+      CASE WHEN regexp_matches({name}, '[[:alnum:]_]') AND {name} NOT IN ({nothing}) THEN {name} END AS name
     FROM company_data LEFT JOIN s s1 ON s1.name = {squeezed.format('state_of_incorporation')} LEFT JOIN s s2 ON s2.code = {squeezed.format('state_of_incorporation')}),
-  g AS (SELECT filing_id, max(cik) AS cik, max(sic) AS sic, max(state) AS state, max(fy) AS fy FROM c WHERE filing_id IS NOT NULL GROUP BY 1),
+  g AS (SELECT filing_id, max(cik) AS cik, max(sic) AS sic, max(state) AS state, max(fy) AS fy, max(name) AS name FROM c WHERE filing_id IS NOT NULL GROUP BY 1),
   v AS (SELECT cik, filing_id, day, unnest(['sic', 'state_of_incorporation', 'fiscal_year_end']) AS attribute, unnest([sic, state, fy]) AS value FROM g JOIN filed USING (filing_id) WHERE cik IS NOT NULL AND day IS NOT NULL),
-  l AS (SELECT *, lag(value) OVER (PARTITION BY cik, attribute ORDER BY day, filing_id) AS before FROM v WHERE value IS NOT NULL), {read_times('former_names', 'filing_id', 'date_of_name_change', 'nt')}
-  SELECT DISTINCT cik, attribute, strftime(day, '%Y-%m-%d') AS valid_from FROM l WHERE before <> value
-  UNION SELECT DISTINCT cik, 'conformed_name', strftime(day, '%Y-%m-%d') FROM nt JOIN g USING (filing_id) WHERE day IS NOT NULL AND cik IS NOT NULL"""
+  l AS (SELECT *, lag(value) OVER (PARTITION BY cik, attribute ORDER BY day, filing_id) AS before FROM v WHERE value IS NOT NULL), {read_times('former_names', 'filing_id, former_name', 'date_of_name_change', 'nt')},
+  nm AS (SELECT cik, day AS ended, min(coalesce({squeezed.format('former_name')}, '')) AS value FROM nt JOIN g USING (filing_id) WHERE day IS NOT NULL AND cik IS NOT NULL GROUP BY 1, 2),
+  lastname AS (SELECT cik, arg_max(name, (day, filing_id)) AS name FROM g JOIN filed USING (filing_id) WHERE cik IS NOT NULL AND day IS NOT NULL AND name IS NOT NULL GROUP BY 1)"""
+
+
+def p1(states: dict[str, str], placeholders: tuple[str, ...]) -> str:
+    return f"""WITH {_history(states, placeholders)} SELECT DISTINCT cik, attribute, strftime(day, '%Y-%m-%d') AS valid_from FROM l WHERE before <> value
+  UNION SELECT cik, 'conformed_name', strftime(ended, '%Y-%m-%d') FROM nm"""
+
+
+def p1_history(states: dict[str, str], placeholders: tuple[str, ...]) -> str:
+    return f"""WITH {_history(states, placeholders)}, r AS (SELECT *, row_number() OVER w AS k, lead(day) OVER w AS until FROM l WHERE before IS NULL OR before <> value WINDOW w AS (PARTITION BY cik, attribute ORDER BY day, filing_id)),
+  d AS (SELECT *, row_number() OVER w AS k, lag(ended) OVER w AS since, lead(ended) OVER w AS following FROM nm WINDOW w AS (PARTITION BY cik ORDER BY ended)),
+  a AS (SELECT cik, attribute, k, day AS valid_from, until AS valid_to, CASE WHEN attribute = 'sic' AND length(value) < 4 THEN lpad(value, 4, '0') ELSE value END AS value FROM r
+    UNION ALL SELECT cik, 'conformed_name', k, since, ended, nullif(value, '') FROM d
+    UNION ALL SELECT cik, 'conformed_name', k + 1, ended, NULL, name FROM d LEFT JOIN lastname USING (cik) WHERE following IS NULL
+    UNION ALL SELECT cik, 'conformed_name', 1, NULL, NULL, name FROM lastname WHERE cik NOT IN (SELECT cik FROM nm))
+  SELECT cik, attribute, k::INTEGER AS version, valid_from, valid_to, value FROM a"""
 
 
 _FORM = "nullif(regexp_replace(upper({}), '[^A-Z0-9/]', '', 'g'), '')"
-P6 = f"""WITH {FILED}, f AS (SELECT filing_id, max({_CIK.format('cik')}) AS cik, max({_FORM.format('form_type')}) AS form FROM filings WHERE filing_id IS NOT NULL GROUP BY 1),
+P6 = f"""WITH {FILED}, f AS (SELECT filing_id, max({CIK.format('cik')}) AS cik, max({_FORM.format('form_type')}) AS form FROM filings WHERE filing_id IS NOT NULL GROUP BY 1),
   i AS (SELECT * FROM f JOIN filed USING (filing_id) WHERE cik IS NOT NULL AND form IS NOT NULL AND day IS NOT NULL),
   n AS (SELECT t.period_label, t.form_type, i.cik, count(*) AS n FROM sample_targets t JOIN i ON i.form = {_FORM.format('t.form_type')} AND year(i.day) BETWEEN t.first_year AND t.last_year GROUP BY 1, 2, 3)
   SELECT t.period_label, t.form_type FROM sample_targets t LEFT JOIN n USING (period_label, form_type) GROUP BY t.period_label, t.form_type, t.company_cap, t.min_rows, t.target_pct, t.sample_size

@@ -2,6 +2,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tessera.operators import wide as wide_module
 from tessera.operators.wide import to_wide, wide_cells
 
 SPEC = [("filing", "ACCESSION NUMBER", "accession", "string"), ("filing", "FILED AS OF DATE", "filed", "date"), ("company_data", "CIK", "cik", "bigint"), ("company_data", "SIC", "sic", "code"), ("company_data", "EIN", "irs", "digits"), ("company_data", "IRS NUMBER", "irs", "digits")]
@@ -36,12 +37,24 @@ def test_names_types_and_the_lowest_fitting_occurrence(spark, spec):
 def test_ordinals_have_no_gaps_over_many_ranges(spark, spec):
     data = spark.range(3000).select(F.concat(F.lit("f"), (F.col("id") % 1000).cast("string")).alias("filing_id"), F.lit("filing").alias("section"), F.lit("ACCESSION NUMBER").alias("field_name"), F.concat(F.lit("v"), (F.col("id") % 1000).cast("string")).alias("field_value"), F.lit(0).cast("long").alias("occurrence"))
     hot = spark.range(1500).select(F.lit("f1").alias("filing_id"), F.lit("filing").alias("section"), F.lit("ACCESSION NUMBER").alias("field_name"), F.lit("w").alias("field_value"), F.col("id") + 1)
-    out = to_wide(data.union(hot), spec, range_rows=64)
+    out = to_wide(data.union(hot), spec, ranges=17)
     got = out.select("entity_ordinal", "filing_id", "accession").collect()
     assert sorted(r[0] for r in got) == list(range(1000))
+    assert sorted(map(tuple, got)) == sorted(map(tuple, to_wide(data.union(hot), spec, ranges=17).select("entity_ordinal", "filing_id", "accession").collect()))
     assert all(r[2] == "v" + r[1][1:] for r in got)
 
 
+def test_ranges_that_share_a_task_and_follow_the_size(spark, spec, monkeypatch, tmp_path):
+    data = spark.range(5000).select(F.concat(F.lit("f"), (F.col("id") % 900).cast("string")).alias("filing_id"), F.lit("filing").alias("section"), F.lit("ACCESSION NUMBER").alias("field_name"), F.col("id").cast("string").alias("field_value"), F.col("id").alias("occurrence"))
+    data.write.parquet(f"{tmp_path}/eav")
+    eav = spark.read.parquet(f"{tmp_path}/eav")
+    monkeypatch.setattr(wide_module, "MAX_TASKS", 3)
+    monkeypatch.setattr(wide_module, "BROADCAST_RANGES", 4)
+    monkeypatch.setattr(wide_module, "RANGE_BYTES", 1 << 10)
+    got = to_wide(eav, spec).select("entity_ordinal", "filing_id", "accession").collect()
+    assert sorted(r[0] for r in got) == list(range(900)) and all(r[1] == f"f{r[2]}" for r in got)
+
+
 def test_cells_empty_tables_and_clashing_columns(spark, spec):
     df = spark.createDataFrame([("a", "filing", "ACCESSION NUMBER", "1", 0)], EAV).withColumn("slot", F.lit(5)).withColumn("entity", F.lit("q")).withColumn("cell", F.lit("z"))
     assert rows(wide_cells(to_wide(df, spec), ["accession", "cik"])) == [("a", "accession", "1")]
