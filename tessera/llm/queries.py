@@ -116,8 +116,16 @@ QUERIES = {
     "p7_ids": p7_ids, "p7_roundtrip": p7_roundtrip, "p8_found": p8_found, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_restored": p9_restored,
 }
 
+_FORM = "nullif(regexp_replace(upper({}), '[^A-Z0-9/]', '', 'g'), '')"
+# Ends with i: the filings that count, with company, form and day.
+_ITEMS = f"""{time_sql.FILED}, f AS (SELECT filing_id, max({time_sql.CIK.format('cik')}) AS cik, max({_FORM.format('form_type')}) AS form FROM filings WHERE filing_id IS NOT NULL GROUP BY 1),
+  i AS (SELECT * FROM f JOIN filed USING (filing_id) WHERE cik IS NOT NULL AND form IS NOT NULL AND day IS NOT NULL)"""
+
 SQL: dict[str, str] = {
-    "p6_found": time_sql.P6,
+    "p6_found": f"""WITH {_ITEMS},
+      n AS (SELECT t.period_label, t.form_type, i.cik, count(*) AS n FROM sample_targets t JOIN i ON i.form = {_FORM.format('t.form_type')} AND year(i.day) BETWEEN t.first_year AND t.last_year GROUP BY 1, 2, 3)
+      SELECT t.period_label, t.form_type FROM sample_targets t LEFT JOIN n USING (period_label, form_type) GROUP BY t.period_label, t.form_type, t.company_cap, t.min_rows, t.target_pct, t.sample_size
+      HAVING coalesce(sum(CASE WHEN n.n < t.company_cap THEN n.n WHEN n.n IS NOT NULL THEN t.company_cap END), 0) < greatest(t.min_rows, (t.target_pct * t.sample_size + 99) // 100)""",
     "p5_found": """WITH l AS (SELECT upper(trim(document_type)) AS t, max_bytes FROM size_limits), m AS (SELECT doc_id, octet_length(encode(text)) AS b,
       (SELECT arg_max(max_bytes, length(t)) FROM l WHERE t <> 'OTHER' AND starts_with(upper(trim(coalesce(document_type, ''))), t)) AS own FROM documents WHERE text IS NOT NULL)
       SELECT doc_id FROM m WHERE b > coalesce(own, (SELECT max_bytes FROM l WHERE t = 'OTHER'))""",
