@@ -81,11 +81,3 @@ def p1_history(states: dict[str, str], placeholders: tuple[str, ...]) -> str:
     UNION ALL SELECT cik, 'conformed_name', k + 1, ended, NULL, name FROM d LEFT JOIN lastname USING (cik) WHERE following IS NULL
     UNION ALL SELECT cik, 'conformed_name', 1, NULL, NULL, name FROM lastname WHERE cik NOT IN (SELECT cik FROM nm))
   SELECT cik, attribute, k::INTEGER AS version, valid_from, valid_to, value FROM a"""
-
-
-_FORM = "nullif(regexp_replace(upper({}), '[^A-Z0-9/]', '', 'g'), '')"
-P6 = f"""WITH {FILED}, f AS (SELECT filing_id, max({CIK.format('cik')}) AS cik, max({_FORM.format('form_type')}) AS form FROM filings WHERE filing_id IS NOT NULL GROUP BY 1),
-  i AS (SELECT * FROM f JOIN filed USING (filing_id) WHERE cik IS NOT NULL AND form IS NOT NULL AND day IS NOT NULL),
-  n AS (SELECT t.period_label, t.form_type, i.cik, count(*) AS n FROM sample_targets t JOIN i ON i.form = {_FORM.format('t.form_type')} AND year(i.day) BETWEEN t.first_year AND t.last_year GROUP BY 1, 2, 3)
-  SELECT t.period_label, t.form_type FROM sample_targets t LEFT JOIN n USING (period_label, form_type) GROUP BY t.period_label, t.form_type, t.company_cap, t.min_rows, t.target_pct, t.sample_size
-  HAVING coalesce(sum(CASE WHEN n.n < t.company_cap THEN n.n WHEN n.n IS NOT NULL THEN t.company_cap END), 0) < greatest(t.min_rows, (t.target_pct * t.sample_size + 99) // 100)"""
