@@ -121,11 +121,23 @@ _FORM = "nullif(regexp_replace(upper({}), '[^A-Z0-9/]', '', 'g'), '')"
 _ITEMS = f"""{time_sql.FILED}, f AS (SELECT filing_id, max({time_sql.CIK.format('cik')}) AS cik, max({_FORM.format('form_type')}) AS form FROM filings WHERE filing_id IS NOT NULL GROUP BY 1),
   i AS (SELECT * FROM f JOIN filed USING (filing_id) WHERE cik IS NOT NULL AND form IS NOT NULL AND day IS NOT NULL)"""
 
+_CELLS = f"""{_ITEMS}, t AS (SELECT *, {_FORM.format('form_type')} AS cat, greatest(min_rows, (target_pct * sample_size + 99) // 100) AS wanted FROM sample_targets),
+  x AS (SELECT t.period_label, t.cat, i.cik, i.filing_id, substr(md5('11|' || i.filing_id), 1, 15) AS mark, t.company_cap FROM t JOIN i ON i.form = t.cat AND year(i.day) BETWEEN t.first_year AND t.last_year),
+  k AS (SELECT *, row_number() OVER (PARTITION BY period_label, cat, cik ORDER BY mark, filing_id) <= company_cap AS fits FROM x),
+  n AS (SELECT period_label, cat, count(*) AS seen, count(*) FILTER (fits) AS available FROM k GROUP BY 1, 2),
+  c AS (SELECT t.*, coalesce(seen, 0) AS seen, coalesce(available, 0) AS available FROM t LEFT JOIN n USING (period_label, cat))"""
+# The places of a sample dealt one by one: minima, then wanted numbers, then what is left, by highest averages.
+_QUOTAS = f"""{_CELLS}, u AS (SELECT period_label, cat, sample_size, min_rows, wanted, target_pct, unnest(range(1, least(available, sample_size) + 1)) AS k FROM c),
+  o AS (SELECT period_label, cat, row_number() OVER (PARTITION BY period_label ORDER BY CASE WHEN k <= min_rows THEN 0 WHEN k <= wanted THEN 1 ELSE 2 END,
+    CASE WHEN k <= min_rows THEN k / min_rows::DOUBLE ELSE (2 * k - 1) / target_pct::DOUBLE END, cat) AS turn, sample_size FROM u WHERE k <= min_rows OR target_pct > 0),
+  q AS (SELECT period_label, cat, count(*) AS quota FROM o WHERE turn <= sample_size GROUP BY 1, 2)"""
+
 SQL: dict[str, str] = {
-    "p6_found": f"""WITH {_ITEMS},
-      n AS (SELECT t.period_label, t.form_type, i.cik, count(*) AS n FROM sample_targets t JOIN i ON i.form = {_FORM.format('t.form_type')} AND year(i.day) BETWEEN t.first_year AND t.last_year GROUP BY 1, 2, 3)
-      SELECT t.period_label, t.form_type FROM sample_targets t LEFT JOIN n USING (period_label, form_type) GROUP BY t.period_label, t.form_type, t.company_cap, t.min_rows, t.target_pct, t.sample_size
-      HAVING coalesce(sum(CASE WHEN n.n < t.company_cap THEN n.n WHEN n.n IS NOT NULL THEN t.company_cap END), 0) < greatest(t.min_rows, (t.target_pct * t.sample_size + 99) // 100)""",
+    "p6_found": f"WITH {_CELLS} SELECT period_label, form_type FROM c WHERE available < wanted",
+    "p6_sample": f"""WITH {_QUOTAS}, r AS (SELECT period_label, cat, filing_id, cik, row_number() OVER (PARTITION BY period_label, cat ORDER BY mark, filing_id) AS place FROM k WHERE fits)
+      SELECT period_label, form_type, filing_id, cik FROM r JOIN q USING (period_label, cat) JOIN (SELECT period_label, cat, form_type FROM t) USING (period_label, cat) WHERE place <= quota""",
+    "p6_shortfalls": f"""WITH {_QUOTAS} SELECT period_label, form_type, wanted, coalesce(quota, 0) AS quota, seen, available, coalesce(quota, 0) AS sampled, available < wanted AS short, greatest(wanted - coalesce(quota, 0), 0) AS unmet
+      FROM c LEFT JOIN q USING (period_label, cat)""",
     "p5_found": """WITH l AS (SELECT upper(trim(document_type)) AS t, max_bytes FROM size_limits), m AS (SELECT doc_id, octet_length(encode(text)) AS b,
       (SELECT arg_max(max_bytes, length(t)) FROM l WHERE t <> 'OTHER' AND starts_with(upper(trim(coalesce(document_type, ''))), t)) AS own FROM documents WHERE text IS NOT NULL)
       SELECT doc_id FROM m WHERE b > coalesce(own, (SELECT max_bytes FROM l WHERE t = 'OTHER'))""",

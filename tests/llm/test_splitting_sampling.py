@@ -1,3 +1,4 @@
+import hashlib
 import random
 from collections import defaultdict
 
@@ -73,48 +74,85 @@ def test_limits_and_rows(spark):
 TARGETS = "period_label string, first_year int, last_year int, form_type string, target_pct int, min_rows long, sample_size long, company_cap int"
 
 
-def test_sample_equals_brute_force(spark):
+def best(size, shares, least, wanted, available):
+    """Places dealt one by one, as the rule says."""
+    units = []
+    for j, (s, m, w, n) in enumerate(zip(shares, least, wanted, available)):
+        for k in range(1, n + 1):
+            if k <= m:
+                units.append((0, k / m, j))
+            elif s > 0:
+                units.append((1 if k <= w else 2, (2 * k - 1) / s, j))
+    out = [0] * len(shares)
+    for _, _, j in sorted(units)[:size]:
+        out[j] += 1
+    return out
+
+
+def test_fitted_quotas(spark):
+    r = random.Random(8)
+    for _ in range(600):
+        n = r.randrange(1, 7)
+        size = r.choice([0, 1, 7, 40, 300])
+        shares, least, available = [r.choice([0, 1, 5, 20, 33, 60]) for _ in range(n)], [r.choice([0, 1, 6, 50]) for _ in range(n)], [r.choice([0, 1, 3, 20, 200]) for _ in range(n)]
+        wanted = [max(m, -(-s * size // 100)) for s, m in zip(shares, least)]
+        got = sampling.fit(size, shares, least, wanted, available)
+        assert got == best(size, shares, least, wanted, available)
+        assert sum(got) <= size and all(q <= a for q, a in zip(got, available))
+    assert sampling.fit(10, [33, 33, 34], [6, 6, 6], [6, 6, 6], [99, 99, 99]) == [4, 3, 3]  # minima that cannot all hold
+    assert sampling.fit(100, [50, 50], [1, 1], [50, 50], [10, 500]) == [10, 90]  # what one cannot give is passed on
+    assert sum(sampling.fit(10**9, [38, 27, 35], [9, 9, 9], [38 * 10**7, 27 * 10**7, 35 * 10**7], [10**12] * 3)) == 10**9
+
+
+def test_sample_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "TRIM_ROWS", 100)
     r = random.Random(3)
     items = [(f"i{k}", r.choice(["8-K", "8-K", "10-K", "10K", "8-K/A", "def 14a"]), "hot" if r.random() < 0.4 else f"c{r.randrange(30)}", r.randrange(1999, 2012)) for k in range(3000)]
     t = [("p", 2001, 2006, "8-K", 60, 1, 200, 9), ("p", 2001, 2006, "10-K", 30, 1, 200, 9), ("p", 2001, 2006, "DEF 14A", 10, 50, 200, 1), ("q", 2005, 2010, "8-k", 99, 1, 900, 20), ("q", 2005, 2010, "424B3", 1, 3, 900, 20), (None, 1, 2, "8-K", 1, 1, 1, 1)]
-    df = spark.createDataFrame(items, "item string, category string, company string, year int").withColumn("cell", F.lit("clash"))
+    t += [("free", 1999, 2012, "8-K", 50, 1, 100, None), ("free", 1999, 2012, "10-K", 50, 1, 100, 400)]
+    df = spark.createDataFrame(items, "item string, category string, company string, year int").withColumn("cell", F.lit("clash")).withColumn("quota", F.lit("clash"))
     df = df.withColumn("category", sampling.category_key(F.col("category")))
     drawn, report = sampling.sample(df, spark.createDataFrame(t, TARGETS), bins=64)
     rep = {(x.period_label, x.form_type): x for x in report.collect()}
-    sampled = defaultdict(list)
+    sampled = defaultdict(set)
     for x in drawn.collect():
-        sampled[x.period_label, x.form_type].append(x)
-    assert len(rep) == 5
-    for p, a, b, f, pct, least, size, cap in t[:5]:
-        key = f.upper().replace("-", "").replace(" ", "")
-        own = defaultdict(int)
-        for _, c, company, year in items:
-            if c.upper().replace("-", "").replace(" ", "") == key and a <= year <= b:
-                own[company] += 1
-        available, wanted = sum(min(cap, n) for n in own.values()), max(least, -(-pct * size // 100))
-        x = rep[p, f]
-        assert (x.wanted, x.seen, x.available, x.short) == (wanted, sum(own.values()), available, available < wanted)
-        got = sampled[p, f]
-        assert len(got) == x.sampled == min(available, x.quota) and len({g.item for g in got}) == len(got)
-        by = defaultdict(int)
-        for g in got:
-            by[g.company] += 1
-        assert max(by.values(), default=0) <= cap
-    assert rep["p", "8-K"].quota == 120 and rep["p", "DEF 14A"].quota == 50  # a minimum above the share is kept
+        sampled[x.period_label, x.form_type].add((x.item, x.company))
+    assert len(rep) == 7
+    key = lambda f: f.upper().replace("-", "").replace(" ", "")
+    mark = lambda i: hashlib.md5(f"11|{i}".encode()).hexdigest()[:15]
+    for p in ("p", "q", "free"):
+        cells = sorted((x for x in t if x[0] == p), key=lambda x: key(x[3]))
+        pools, counts = [], []
+        for _, a, b, f, _, _, _, cap in cells:
+            own = defaultdict(list)
+            for i, c, company, year in items:
+                if key(c) == key(f) and a <= year <= b:
+                    own[company].append((mark(i), i, company))
+            counts.append(sum(map(len, own.values())))
+            pools.append(sorted(x for xs in own.values() for x in sorted(xs)[:cap]))
+        wanted = [max(x[5], -(-x[4] * x[6] // 100)) for x in cells]
+        quota = best(cells[0][6], [x[4] for x in cells], [x[5] for x in cells], wanted, [len(x) for x in pools])
+        for x, pool, n, w, q in zip(cells, pools, counts, wanted, quota):
+            y = rep[p, x[3]]
+            assert (y.wanted, y.quota, y.seen, y.available, y.sampled, y.short, y.unmet) == (w, q, n, len(pool), q, len(pool) < w, max(0, w - q))
+            assert sampled[p, x[3]] == {z[1:] for z in pool[:q]}
     again = sampling.sample(df.repartition(7), spark.createDataFrame(t, TARGETS), bins=64)[0]
     assert sorted(rows(again)) == sorted(rows(drawn))
 
 
-def test_rounding_is_fitted_to_the_sample_size(spark):
-    t = [("p", 2000, 2010, f, pct, 1, 10, None) for f, pct in (("A", 33), ("B", 33), ("C", 34))]
-    df = spark.createDataFrame([(f"i{k}", "ABC"[k % 3], f"c{k}", 2005) for k in range(90)], "item string, category string, company string, year int")
-    drawn, report = sampling.sample(df, spark.createDataFrame(t, TARGETS))
-    assert [r.wanted for r in report.collect()] == [4, 4, 4] and sum(r.quota for r in report.collect()) == 10 == drawn.count()
+def test_the_report_is_one_of_a_drawn_sample(spark):
+    t = spark.createDataFrame([("p", 2000, 2010, "8-K", 100, 1, 10, 2)], TARGETS)
+    df = spark.createDataFrame([(f"i{k}", "8K", "c", 2005) for k in range(9)], "item string, category string, company string, year int")
+    short = sampling.sample(df, t)[1].filter("short").select("period_label", "form_type")
+    plan = short._jdf.queryExecution().optimizedPlan().toString()
+    assert "_rank" in plan and "_first" in plan and short.count() == 1  # the trimming is part of what tells the shortfalls
 
 
 def test_empty_and_null_items(spark):
     t = spark.createDataFrame([("p", 2000, 2010, "8-K", 100, 1, 10, 2)], TARGETS)
     df = spark.createDataFrame([(None, "8K", "c", 2005), ("i", None, "c", 2005), ("j", "8K", None, 2005), ("k", "8K", "c", None), ("l", "8K", "c", 1990)], "item string, category string, company string, year int")
     drawn, report = sampling.sample(df, t)
-    assert drawn.count() == 0 and report.select("available", "sampled", "short").head() == (0, 0, True)
+    assert drawn.count() == 0 and report.select("available", "sampled", "short", "unmet").head() == (0, 0, True, 10)
     assert sampling.sample(df, t.filter("false"))[1].count() == 0
+    nothing = spark.createDataFrame([("p", 2000, 2010, "8-K", None, None, None, None)], TARGETS)
+    assert sampling.sample(df.withColumn("year", F.lit(2005)), nothing)[1].select("wanted", "sampled", "short").head() == (0, 0, False)
