@@ -9,7 +9,7 @@ from tessera.functions.codes import plain_cik
 from tessera.functions.timeparse import normal_date
 from tessera.llm import addresses, encoding, mixing, sampling, splitting, tokens
 from tessera.plans import time_sql
-from tessera.session import spread, stored, table
+from tessera.session import spread, table
 
 #: A parameter table read by the driver has at most so many rows.
 MAX_PARAMETERS = 10_000
@@ -99,8 +99,22 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
-    # Written whole: of a plan that asks for ``short`` alone, Catalyst would drop the mixing.
-    return stored(_mix(spark, d)[1]).filter("short").select("source")
+    return _mix(spark, d)[1].filter("short").select("source")
+
+
+def _mix_of_bytes(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The same mix sized in bytes of text, four for each token of the targets: what SQL can follow."""
+    targets = table(spark, d, "mix_targets").withColumn("total_tokens", F.col("total_tokens") * 4)
+    sized = table(spark, d, "documents").select("doc_id", "source", F.coalesce(F.octet_length("text"), F.lit(0)).alias("n_tokens"))
+    return mixing.mix(sized, targets)
+
+
+def p8_mix_of_bytes(spark: SparkSession, d: str) -> DataFrame:
+    return _mix_of_bytes(spark, d)[0]
+
+
+def p8_shares_of_bytes(spark: SparkSession, d: str) -> DataFrame:
+    return _mix_of_bytes(spark, d)[1]
 
 
 def p9_restored(spark: SparkSession, d: str) -> DataFrame:
@@ -113,7 +127,8 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {
     "p4_found": p4_found, "p4_places": p4_places, "p5_found": p5_found, "p5_pieces": p5_pieces, "p6_found": p6_found, "p6_sample": p6_sample, "p6_shortfalls": p6_shortfalls,
-    "p7_ids": p7_ids, "p7_roundtrip": p7_roundtrip, "p8_found": p8_found, "p8_mix": p8_mix, "p8_shares": p8_shares, "p9_found": p9_found, "p9_restored": p9_restored,
+    "p7_ids": p7_ids, "p7_roundtrip": p7_roundtrip, "p8_found": p8_found, "p8_mix": p8_mix, "p8_shares": p8_shares, "p8_mix_of_bytes": p8_mix_of_bytes, "p8_shares_of_bytes": p8_shares_of_bytes,
+    "p9_found": p9_found, "p9_restored": p9_restored,
 }
 
 _FORM = "nullif(regexp_replace(upper({}), '[^A-Z0-9/]', '', 'g'), '')"
@@ -132,7 +147,21 @@ _QUOTAS = f"""{_CELLS}, u AS (SELECT period_label, cat, sample_size, min_rows, w
     CASE WHEN k <= min_rows THEN k / min_rows::DOUBLE ELSE (2 * k - 1) / target_pct::DOUBLE END, cat) AS turn, sample_size FROM u WHERE k <= min_rows OR target_pct > 0),
   q AS (SELECT period_label, cat, count(*) AS quota FROM o WHERE turn <= sample_size GROUP BY 1, 2)"""
 
+_SOURCE = "lower(regexp_replace(source, '^\\s+|\\s+$', '', 'g'))"
+# Ends with e: every document of a wanted source with its place and copies.
+_MIX = f"""w AS (SELECT {_SOURCE} AS key, min(source) AS src, max(target_pct)::BIGINT AS pct, max(max_repeats)::BIGINT AS repeats, (max(total_tokens) * 4)::BIGINT AS total FROM mix_targets WHERE source IS NOT NULL GROUP BY 1),
+  d AS (SELECT doc_id, key, n, substr(md5('7|' || doc_id), 1, 15) AS mark, length(bin(n + 1)) - 1 AS octave FROM (SELECT doc_id, {_SOURCE} AS key, coalesce(octet_length(encode(text)), 0)::BIGINT AS n FROM documents) JOIN w USING (key)),
+  z AS (SELECT key, sum(n)::BIGINT AS tokens, count(*) AS documents FROM d GROUP BY 1),
+  r AS (SELECT w.*, coalesce(tokens, 0) AS tokens, coalesce(documents, 0) AS documents, CASE WHEN tokens > 0 THEN least(repeats::DOUBLE, (pct * total / 100) / tokens) ELSE 0.0::DOUBLE END AS rate,
+    ('0x' || substr(md5('7|offset|' || key), 1, 15))::BIGINT / pow(2.0::DOUBLE, 60) AS offs FROM w LEFT JOIN z USING (key)),
+  p AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY 4 * octave + floor((n + 1) * 4 / pow(2.0::DOUBLE, octave)), mark, doc_id) AS place FROM d JOIN r USING (key)),
+  e AS (SELECT *, (CASE WHEN rate >= repeats THEN repeats ELSE least(floor(rate * place + offs) - floor(rate * (place - 1) + offs), repeats) END)::INTEGER AS copies FROM p)"""
+
 SQL: dict[str, str] = {
+    "p8_mix_of_bytes": f"WITH {_MIX} SELECT doc_id, src AS source, n AS n_tokens, unnest(range(1, copies + 1))::INTEGER AS copy FROM e WHERE copies > 0",
+    "p8_shares_of_bytes": f"""WITH {_MIX}, m AS (SELECT key, sum(n * copies)::BIGINT AS mixed FROM e GROUP BY 1), a AS (SELECT r.*, coalesce(mixed, 0) AS mixed FROM r LEFT JOIN m USING (key))
+      SELECT src AS source, pct * total / 100 AS target_tokens, tokens AS available_tokens, documents, rate, mixed AS mixed_tokens, pct / 100 AS target_share,
+      coalesce(mixed / nullif(sum(mixed) OVER ()::BIGINT, 0), 0.0::DOUBLE) AS actual_share, tokens * repeats * 100 < pct * total AS short FROM a""",
     "p6_found": f"WITH {_CELLS} SELECT period_label, form_type FROM c WHERE available < wanted",
     "p6_sample": f"""WITH {_QUOTAS}, r AS (SELECT period_label, cat, filing_id, cik, row_number() OVER (PARTITION BY period_label, cat ORDER BY mark, filing_id) AS place FROM k WHERE fits)
       SELECT period_label, form_type, filing_id, cik FROM r JOIN q USING (period_label, cat) JOIN (SELECT period_label, cat, form_type FROM t) USING (period_label, cat) WHERE place <= quota""",
