@@ -1,13 +1,15 @@
 """Which address records denote the same place.
 
 1. Exact copies are set aside: one representative (the smallest id) per distinct (street1, street2, city, state, postal_code).
-2. Each is read into a normalised form (:mod:`tessera.llm.addressing`) and expanded: street names with each one letter left out
-   (words one edit or one swap apart share a form), cities likewise.
+2. Each is expanded into all plausible readings (:mod:`tessera.llm.addressing`: street and box, letters of directions, abbreviated
+   names), one row each, and each reading into its spellings: street names with each one letter left out (words one edit or one swap apart
+   share a form), cities likewise.
 3. Component combinations are hashed and exploded: (number, street form, zip) and (number, either end of the street, zip) always; (number, street form, city), (number, street, city
    form) and (number, street form, state) are asked only by records without a zip, since two zips decide by themselves. The same
-   again with the street left out, for two misspelled records: the names of such a pair are compared letter by letter.
+   again with the street left out, for two misspelled records.
 4. An equi-join on any shared hash gives candidates. The house (or box) number is part of every hash; the numbers are compared
-   again and conflicting ones rejected, as are conflicting zips, states, cities, directions and street types.
+   again with their letters, fractions and ranges and conflicting ones rejected, as are conflicting zips, states, cities, directions and
+   street types. The names of a pair are compared letter by letter (:func:`tessera.llm.addressing.spelled_alike`).
 5. A record that leaves out the direction or the street type takes them from its neighbours: those of the same suite first, then
    the most frequent. Links whose completed forms conflict are dropped.
 6. Links are closed by passing on the smallest id until no label changes, and pairs of one label are checked once more.
@@ -29,78 +31,56 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.addressing import deletions, read_place
+from tessera.llm.addressing import Place, deletions, read_places, spelled_alike
 from tessera.session import stored
 
 FIELDS = ["street1", "street2", "city", "state", "postal_code"]
-#: Letters of a street name in which two errors are told from another name.
-LONG_NAME = 8
-
 _FORM = T.StructType(
-    [T.StructField("id", T.LongType()), T.StructField("copies", T.LongType()), T.StructField("box", T.BooleanType())]
-    + [T.StructField(c, T.StringType()) for c in ("number", "name", "direction", "kind", "city", "state", "zip5", "unit")]
+    [T.StructField("id", T.LongType()), T.StructField("reading", T.IntegerType()), T.StructField("copies", T.LongType()), T.StructField("box", T.BooleanType())]
+    + [T.StructField(c, T.StringType()) for c in Place._fields[1:]]
     + [T.StructField("told", T.ArrayType(T.LongType())), T.StructField("asked", T.ArrayType(T.LongType()))]
 )
+_KEPT = ["id", "reading", "copies", *Place._fields]
 
 
-def _hashes(p) -> tuple[list[int], list[int]]:
-    """(told, asked): hashes under which others find this record, and those it looks others up by."""
+def _hashes(p: Place) -> tuple[list[int], list[int]]:
+    """(told, asked): hashes under which others find this reading, and those it looks others up by."""
 
     def h(*parts: str) -> int:
         return xxhash.xxh64_intdigest("\x1f".join(parts).encode()) - (1 << 63)
 
     base = ("box" if p.box else "street", p.number)
-    forms = deletions(p.name)
+    forms, towns = deletions(p.name), deletions(p.city) if p.city else []
     zips = [h(*base, f, "zip", p.zip5) for f in forms] if p.zip5 else []
-    if p.zip5 and len(forms) > 1:  # two records with an error each: one end of the street is whole in both
-        zips += [h(*base, "begin", p.name[:4], p.zip5), h(*base, "end", p.name[-4:], p.zip5)]
-    wider = [h(*base, f, "city", p.city) for f in forms] + [h(*base, p.name, "town", c) for c in deletions(p.city)] if p.city else []
+    wider = [h(*base, f, "city", p.city) for f in forms] + [h(*base, p.name, "town", c) for c in towns] if p.city else []
     if p.state:
         wider += [h(*base, f, "state", p.state) for f in forms]
-    narrow = [x | 1 for x in zips + wider], [x | 1 for x in (zips if p.zip5 else wider)]
-    if len(forms) == 1:  # no name that may be misspelled
-        return narrow
-    # The street left out: even hashes, whose pairs have to be near spellings (see ``_spelled_alike``).
-    zips = [h(*base, "any", "zip", p.zip5)] if p.zip5 else []
-    wider = [h(*base, "any", "town", c) for c in deletions(p.city)] if p.city else []
-    if p.state:
-        wider.append(h(*base, "any", "state", p.state))
-    return narrow[0] + [x & ~1 for x in zips + wider], narrow[1] + [x & ~1 for x in (zips if p.zip5 else wider)]
-
-
-def _edits(a: str, b: str) -> int:
-    """Letters changed, left out, added or swapped with the next between two names."""
-    before, last = [], list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        row = [i]
-        for j, y in enumerate(b, 1):
-            best = min(last[j] + 1, row[j - 1] + 1, last[j - 1] + (x != y))
-            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
-                best = min(best, before[j - 2] + 1)
-            row.append(best)
-        before, last = last, row
-    return last[-1]
+    if len(forms) > 1:  # a name that may be misspelled in both records: one end of it whole, or left out altogether
+        if p.zip5:
+            zips += [h(*base, "begin", p.name[:4], p.zip5), h(*base, "end", p.name[-4:], p.zip5), h(*base, "any", "zip", p.zip5)]
+        wider += [h(*base, "any", "town", c) for c in towns]
+        if p.state:
+            wider.append(h(*base, "any", "state", p.state))
+    return zips + wider, zips if p.zip5 else wider
 
 
-def spelled_alike(a: str, b: str) -> bool:
-    """Whether two names may be one with an error in each: only of long names two errors leave enough."""
-    shorter = min(len(a), len(b))
-    return a == b or shorter >= 5 and _edits(a, b) <= (2 if shorter >= LONG_NAME else 1)
+@F.arrow_udf(T.BooleanType())
+def _alike(a: pa.Array, b: pa.Array) -> pa.Array:
+    return pa.array([spelled_alike(x, y) for x, y in zip(a.to_pylist(), b.to_pylist())], pa.bool_())
 
 
-_spelled_alike = F.udf(spelled_alike, T.BooleanType(), useArrow=True)
+@F.arrow_udf(T.BooleanType())
+def _alike_in_chain(a: pa.Array, b: pa.Array) -> pa.Array:
+    return pa.array([spelled_alike(x, y, True) for x, y in zip(a.to_pylist(), b.to_pylist())], pa.bool_())
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema(
-        [("id", pa.int64()), ("copies", pa.int64()), ("box", pa.bool_())] + [(f.name, pa.string()) for f in _FORM.fields[3:11]] + [("told", pa.list_(pa.int64())), ("asked", pa.list_(pa.int64()))]
-    )
+    text, hashes = pa.string(), pa.list_(pa.int64())
+    schema = pa.schema([("id", pa.int64()), ("reading", pa.int32()), ("copies", pa.int64()), ("box", pa.bool_()), *((c, text) for c in Place._fields[1:]), ("told", hashes), ("asked", hashes)])
     for batch in batches:
         rows = []
         for ident, copies, *texts in zip(*(c.to_pylist() for c in batch.columns)):
-            if (p := read_place(*texts)) is not None:
-                told, asked = _hashes(p)
-                rows.append((ident, copies, *p, told, asked))
+            rows += [(ident, k, copies, *p, *_hashes(p)) for k, p in enumerate(read_places(*texts))]
         columns = list(zip(*rows)) if rows else [[] for _ in schema]
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
@@ -112,6 +92,7 @@ def representatives(addresses: DataFrame, key: str = "address_id") -> DataFrame:
 
 
 def forms(reps: DataFrame) -> DataFrame:
+    """One row per reading of each representative."""
     return reps.select("id", "copies", *FIELDS).mapInArrow(_read, _FORM)
 
 
@@ -119,39 +100,37 @@ def _agree(a: Column, b: Column) -> Column:
     return (a == b) | (a == "") | (b == "")
 
 
-def _same_place(a: str, b: str, edits: int) -> Column:
-    """The same number and no conflict of the parts that both tell."""
+def _same_place(pairs: DataFrame, chained: bool = False) -> DataFrame:
+    """The pairs (structs a, b) of the same number and no conflict of the parts that both tell."""
     c = lambda side, name: F.col(f"{side}.{name}")
-    same_zip = (c(a, "zip5") == c(b, "zip5")) & (c(a, "zip5") != "")
-    ordinal = c(a, "name").rlike("^[0-9]") | c(b, "name").rlike("^[0-9]")
-    name = (c(a, "name") == c(b, "name")) | (~ordinal & (F.levenshtein(c(a, "name"), c(b, "name"), edits) >= 0))
+    both = lambda name: _agree(c("a", name), c("b", name))
+    same = lambda name: c("a", name) == c("b", name)
+    far = 8 if chained else 4  # a swap counts twice
+    near = lambda name: F.levenshtein(c("a", name), c("b", name), far) >= 0
+    same_zip = same("zip5") & (c("a", "zip5") != "")
     # A town is told by the zip; without it the names have to agree but for an edit on either side.
-    city = same_zip | _agree(c(a, "city"), c(b, "city")) | (F.levenshtein(c(a, "city"), c(b, "city"), edits) >= 0)
-    return (
-        (c(a, "number") == c(b, "number")) & (c(a, "box") == c(b, "box")) & name & city & _agree(c(a, "zip5"), c(b, "zip5"))
-        & (same_zip | _agree(c(a, "state"), c(b, "state"))) & _agree(c(a, "direction"), c(b, "direction")) & _agree(c(a, "kind"), c(b, "kind"))
-    )
-
-
-_KEPT = ["id", "copies", "box", "number", "name", "direction", "kind", "city", "state", "zip5", "unit"]
+    city = same_zip | both("city") | (F.levenshtein(c("a", "city"), c("b", "city"), 3) >= 0)
+    free = pairs.filter(same("number") & same("box") & both("part") & both("direction") & both("kind") & both("zip5") & (same_zip | both("state")) & city & (same("name") | near("name")))
+    # Only names that differ go through Python.
+    alike = _alike_in_chain if chained else _alike
+    a, b = (F.when(~same("name"), c(side, "name")).otherwise("") for side in "ab")
+    return free.filter(alike(a, b))
 
 
 def _packed(df: DataFrame, side: str) -> DataFrame:
-    return df.select(F.col("id").alias(f"{side}_id"), F.struct(*[c for c in _KEPT if c in df.columns]).alias(side))
+    return df.select(F.col("id").alias(f"{side}_id"), F.col("reading").alias(f"{side}_reading"), F.struct(*_KEPT).alias(side))
 
 
 def candidate_links(read: DataFrame) -> DataFrame:
-    """(a, b) structs of records that share a hash and do not conflict, a.id < b.id.
-
-    Pairs that share no hash of the street's name (odd) are taken if their names are one but for an error in each.
-    """
-    told = read.select(F.col("id").alias("to"), F.explode("told").alias("hash"))
-    asked = read.select(F.col("id").alias("by"), F.explode("asked").alias("hash"))
-    pairs = told.join(asked, "hash").filter(F.col("to") != F.col("by"))
-    pairs = pairs.groupBy(F.least("to", "by").alias("a_id"), F.greatest("to", "by").alias("b_id")).agg(F.max(F.col("hash").bitwiseAND(F.lit(1))).alias("named"))
-    agreeing = pairs.join(_packed(read, "a"), "a_id").join(_packed(read, "b"), "b_id").filter(_same_place("a", "b", 3))
-    near = agreeing.filter("named = 0").filter(_spelled_alike("a.name", "b.name"))
-    return agreeing.filter("named = 1").select("a", "b").unionByName(near.select("a", "b"))
+    """(a, b) structs of readings of two records that share a hash and do not conflict, a.id < b.id."""
+    told = read.select(F.col("id").alias("to"), F.col("reading").alias("to_reading"), F.explode("told").alias("hash"))
+    asked = read.select(F.col("id").alias("by"), F.col("reading").alias("by_reading"), F.explode("asked").alias("hash"))
+    first = F.col("to") < F.col("by")
+    pairs = told.join(asked, "hash").filter(F.col("to") != F.col("by")).select(
+        F.least("to", "by").alias("a_id"), F.when(first, F.col("to_reading")).otherwise(F.col("by_reading")).alias("a_reading"),
+        F.greatest("to", "by").alias("b_id"), F.when(first, F.col("by_reading")).otherwise(F.col("to_reading")).alias("b_reading"),
+    ).distinct()
+    return _same_place(pairs.join(_packed(read, "a"), ["a_id", "a_reading"]).join(_packed(read, "b"), ["b_id", "b_reading"]).select("a", "b"))
 
 
 def completed(read: DataFrame, links: DataFrame) -> DataFrame:
@@ -160,13 +139,13 @@ def completed(read: DataFrame, links: DataFrame) -> DataFrame:
     lacks = ((F.col("r.direction") == "") & (F.col("n.direction") != "")) | ((F.col("r.kind") == "") & (F.col("n.kind") != ""))
     own = lambda c: F.when(F.col(f"r.{c}") != "", F.col(f"r.{c}")).otherwise(F.col(f"n.{c}"))
     told = both.filter(lacks & ~F.col("r.box")).select(
-        F.col("r.id").alias("id"), own("direction").alias("direction"), own("kind").alias("kind"),
+        F.col("r.id").alias("id"), F.col("r.reading").alias("reading"), own("direction").alias("direction"), own("kind").alias("kind"),
         ((F.col("r.unit") != "") & (F.col("r.unit") == F.col("n.unit"))).cast("int").alias("unit"), F.col("n.copies").alias("copies"),
     )
-    votes = told.groupBy("id", "direction", "kind").agg(F.max("unit").alias("unit"), F.count("*").alias("n"), F.sum("copies").alias("copies"))
+    votes = told.groupBy("id", "reading", "direction", "kind").agg(F.max("unit").alias("unit"), F.count("*").alias("n"), F.sum("copies").alias("copies"))
     full = (F.col("direction") != "").cast("int") + (F.col("kind") != "").cast("int")
-    best = votes.groupBy("id").agg(F.max_by(F.struct("direction", "kind"), F.struct("unit", full, "n", "copies", "direction", "kind")).alias("_best"))
-    out = read.join(best, "id", "left")
+    best = votes.groupBy("id", "reading").agg(F.max_by(F.struct("direction", "kind"), F.struct("unit", full, "n", "copies", "direction", "kind")).alias("_best"))
+    out = read.join(best, ["id", "reading"], "left")
     return out.withColumn("direction", F.coalesce("_best.direction", "direction")).withColumn("kind", F.coalesce("_best.kind", "kind")).drop("_best")
 
 
@@ -174,7 +153,7 @@ def labels(read: DataFrame, links: DataFrame) -> DataFrame:
     """(id, label): the smallest id of the component. Each round is written; places are nearly cliques, so there are few."""
     edges = links.select(F.col("a_id").alias("x"), F.col("b_id").alias("y"))
     edges = edges.unionByName(edges.select(F.col("y").alias("x"), F.col("x").alias("y")))
-    now = read.select("id", F.col("id").alias("label"))
+    now = read.select("id").distinct().select("id", F.col("id").alias("label"))
     while True:
         heard = edges.join(now, edges["y"] == now["id"]).select(F.col("x").alias("id"), "label", F.lit(None).cast("bigint").alias("before"))
         told = now.select("id", "label", F.col("label").alias("before")).unionByName(heard)
@@ -190,12 +169,13 @@ def place_pairs(addresses: DataFrame, key: str = "address_id") -> tuple[DataFram
     read = stored(forms(reps))
     links = stored(candidate_links(read))
     full = stored(completed(read.drop("told", "asked"), links))
-    ids = links.select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id"))
-    kept = stored(ids.join(_packed(full, "a"), "a_id").join(_packed(full, "b"), "b_id").filter(_same_place("a", "b", 3)).select("a_id", "b_id"))
+    ends = links.select(*(F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "ab" for c in ("id", "reading")))
+    whole = ends.join(_packed(full, "a"), ["a_id", "a_reading"]).join(_packed(full, "b"), ["b_id", "b_reading"])
+    kept = stored(_same_place(whole.select("a", "b")).select(F.col("a.id").alias("a_id"), F.col("b.id").alias("b_id")).distinct())
     labelled = stored(full.join(labels(full, kept), "id"))
     one = lambda side: labelled.select("label", F.col("id").alias(f"{side}_id"), F.struct(*_KEPT).alias(side))
-    pairs = one("a").join(one("b"), "label").filter("a_id < b_id").filter(_same_place("a", "b", 4)).select("a_id", "b_id")
-    return pairs, labelled.select("id", "label"), reps
+    pairs = _same_place(one("a").join(one("b"), "label").filter("a_id < b_id"), True).select("a_id", "b_id").distinct()
+    return pairs, labelled.select("id", "label").distinct(), reps
 
 
 def places(addresses: DataFrame, key: str = "address_id") -> DataFrame:

@@ -26,12 +26,10 @@ CITY_WORDS = {
 # Ordinal words of streets and floors.
 ORDINALS = {"FIRST": "1ST", "SECOND": "2ND", "THIRD": "3RD", "FOURTH": "4TH", "FIFTH": "5TH", "SIXTH": "6TH", "SEVENTH": "7TH", "EIGHTH": "8TH", "NINTH": "9TH", "TENTH": "10TH", "ELEVENTH": "11TH", "TWELFTH": "12TH"}
 
-#: Longer "names" are no names: they are compared whole.
-MAX_NAME = 64
-
 _TYPE = {w: k for k, v in STREET_TYPES.items() for w in (k, *v)}
 _DIRECTION = {w: k for k, v in DIRECTIONS.items() for w in (k, *v)}
 _CITY = {w: k for k, v in CITY_WORDS.items() for w in (k, *v)}
+_NAME_WORDS = {"ST": "SAINT", "FT": "FORT", "MT": "MOUNT"}
 _STATE = {name: code for code, name in STATES.items()} | {code: code for code in STATES}
 _ORDINAL = "|".join(ORDINALS)
 _UNIT = re.compile(
@@ -42,14 +40,17 @@ _ORDINAL_FORMS = {o: {o, *(o[:k] + o[k + 1 :] for k in range(len(o)))} for o in
 _STATE_NAMES = "|".join(sorted((re.escape(s) for s in _STATE), key=len, reverse=True))
 _TAIL = re.compile(rf"^(?:(.*?)[\s,]+)?({_STATE_NAMES})[\s,]+(\d{{5}})(?:[\s-]?\d{{4}})?$")
 _ZIP = re.compile(r"(?<!\d)(\d{5})(?:[\s-]?\d{4})?(?!\d)")
-_STREET = re.compile(r"(?<![A-Z0-9])(\d+)(?:-\d+)?[A-Z]?\s+(?=[A-Z0-9])(.+)$")
+# A house number: figures, the end of a range, a letter, a fraction; then the street.
+_STREET = re.compile(r"(?<![A-Z0-9])(\d+)(?:\s?-\s?(\d+))?(?:-?([A-Z]))?(?:\s+(\d/\d))?\s+(?=[A-Z0-9])(?!\d/)(.+)$")
 
 
 class Place(NamedTuple):
-    """One reading of a record. ``box`` tells a post office box: ``number`` is then the box."""
+    """One reading of a record. ``box`` tells a post office box: ``number`` is then the box. ``part`` is what else belongs to a house
+    number (end of a range, letter, fraction): two that differ conflict, as two numbers do."""
 
     box: bool
     number: str
+    part: str
     name: str
     direction: str
     kind: str
@@ -83,19 +84,32 @@ def ordinal(word: str) -> str:
 
 
 def _street_forms(words: list[str]) -> list[tuple[str, str, str]]:
-    """(name, direction, type) of the words after the house number, most plausible first."""
-    direction = kind = ""
-    if len(words) > 1 and words[-1] in _DIRECTION:
-        direction, words = _DIRECTION[words[-1]], words[:-1]
-    if len(words) > 1 and words[-1] in _TYPE:
-        kind, words = _TYPE[words[-1]], words[:-1]
-    if len(words) > 1 and words[0] in _DIRECTION:
-        direction, words = _DIRECTION[words[0]], words[1:]
-    return [(ordinal("".join(words)), direction, kind)]
+    """All plausible (name, direction, type) of the words after the house number, the likeliest first.
 
-
-def read_place(street1: str | None, street2: str | None, city: str | None, state: str | None, postal: str | None) -> Place | None:
-    """The place a record tells, or None where it has neither a street with a house number nor a box."""
+    Ends that can be direction or type are. A name that is a direction's letter may also be one written out ("N St", "North Street"), so may
+    words abbreviated in names ("St James", "Saint James"). A type that is left as the name is written out ("Ave E"), and with a letter
+    it is a name in which no error is allowed ("Avenue C").
+    """
+    direction = kind = ""
+    left = list(words)
+    if len(left) > 1 and left[-1] in _DIRECTION:
+        direction, left = _DIRECTION[left[-1]], left[:-1]
+    if len(left) > 1 and left[-1] in _TYPE:
+        kind, left = _TYPE[left[-1]], left[:-1]
+    if len(left) > 1 and left[0] in _DIRECTION:
+        direction, left = _DIRECTION[left[0]], left[1:]
+    if left[0] in _TYPE and left[0] not in _NAME_WORDS and (len(left) == 1 or len(left) == 2 and len(left[1]) == 1):
+        return [("".join(["0" * (len(left) > 1), _TYPE[left[0]], *left[1:]]), direction, kind)]
+    forms = [(ordinal("".join(left)), direction, kind)]
+    if len(left) == 1 and left[0] in _DIRECTION:
+        forms.append((_DIRECTION[left[0]], direction, kind))
+    forms.append((ordinal("".join(_NAME_WORDS.get(w, w) for w in left)), direction, kind))
+    return list(dict.fromkeys(forms))
+
+
+def read_places(street1: str | None, street2: str | None, city: str | None, state: str | None, postal: str | None) -> list[Place]:
+    """All plausible readings of the place a record tells, the likeliest first; none where it has neither a street with a house
+    number nor a box. A record with both tells two places."""
     town, st = _clean(city), _STATE.get(_clean(state).replace(",", ""), "")
     code = _clean(postal)
     found = _ZIP.search(code)
@@ -127,22 +141,89 @@ def read_place(street1: str | None, street2: str | None, city: str | None, state
             unit = unit or (hit[1] or ORDINALS.get(hit[2], hit[2]))
             part = _UNIT.sub(" ", part).strip()
         if street is None and (hit := _STREET.search(part)):
-            words = re.findall(r"[A-Z0-9]+", hit[2])
+            words = re.findall(r"[A-Z0-9]+", hit[5])
             if any(re.search(r"[A-Z]", w) for w in words):
-                street = (hit[1].lstrip("0") or "0", *_street_forms(words)[0])
+                street = (hit[1].lstrip("0") or "0", "".join(f"{m}{x.lstrip('0')}" for m, x in zip("-~/", hit.groups()[1:4]) if x), words)
     place = canonical_city(town)
+    out = []
     if street:
-        return Place(False, *street, place, st, zip5, unit)
+        number, part, words = street
+        out += [Place(False, number, part, *form, place, st, zip5, unit) for form in _street_forms(words)]
     if box:
-        return Place(True, box, "", "", "", place, st, zip5, "")
-    return None
+        out.append(Place(True, box, "", "", "", "", place, st, zip5, ""))
+    return out
+
+
+#: Letters up to which forms are spelled out; longer ones are told by a polynomial hash, so that a name of any length costs linear time.
+LONG = 64
+_BASE, _PRIME = 1_000_003, (1 << 61) - 1
+
+
+def _gap_hashes(word: str) -> list[int]:
+    """The polynomial hashes of the forms of a word with one letter left out."""
+    n = len(word)
+    tail, power = [0] * (n + 1), [1] * (n + 1)
+    for k in range(n - 1, -1, -1):
+        tail[k] = (tail[k + 1] + ord(word[k]) * power[n - 1 - k]) % _PRIME
+        power[n - k] = power[n - 1 - k] * _BASE % _PRIME
+    out, head = [], 0
+    for k, c in enumerate(word):
+        out.append((head * power[n - 1 - k] + tail[k + 1]) % _PRIME)
+        head = (head * _BASE + ord(c)) % _PRIME
+    return out
+
+
+def _polynomial(word: str) -> int:
+    h = 0
+    for c in word:
+        h = (h * _BASE + ord(c)) % _PRIME
+    return h
 
 
 def deletions(word: str) -> list[str]:
-    """The word and all forms with one letter left out: two words one edit or one swap apart share one.
+    """Marks of the word and of all forms with one letter left out: two words one edit or one swap apart share one.
 
-    Short words, ordinals and what is too long to be a name stand for themselves only.
+    Short words and ordinals stand for themselves only.
     """
-    if not 5 <= len(word) <= MAX_NAME or word[0].isdigit():
+    if len(word) < 5 or word[0].isdigit():
         return [word]
-    return list(dict.fromkeys([word, *(word[:k] + word[k + 1 :] for k in range(len(word)))]))
+    own = word if len(word) <= LONG else f"#{_polynomial(word)}"
+    rest = (word[:k] + word[k + 1 :] for k in range(len(word))) if len(word) - 1 <= LONG else (f"#{h}" for h in _gap_hashes(word))
+    return list(dict.fromkeys([own, *rest]))
+
+
+def within(a: str, b: str, limit: int) -> bool:
+    """Whether at most ``limit`` letters are changed, left out, added or swapped with the next between two words; linear in their length."""
+    if abs(len(a) - len(b)) > limit:
+        return False
+    far = limit + 1
+    before, last = {}, {j: j for j in range(min(limit, len(b)) + 1)}
+    for i, x in enumerate(a, 1):
+        row = {}
+        for j in range(max(0, i - limit), min(len(b), i + limit) + 1):
+            best = min(last.get(j, far) + 1, row.get(j - 1, far) + 1)
+            if j:
+                best = min(best, last.get(j - 1, far) + (x != b[j - 1]))
+                if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == b[j - 1]:
+                    best = min(best, before.get(j - 2, far) + 1)
+            row[j] = best
+        before, last = last, row
+        if min(row.values(), default=far) > limit:
+            return False
+    return last.get(len(b), far) <= limit
+
+
+#: Letters of a name in which two errors are told from another name.
+LONG_NAME = 8
+
+
+@lru_cache(maxsize=65536)
+def spelled_alike(a: str, b: str, chained: bool = False) -> bool:
+    """Whether two names may be one: ordinals and names under five letters have to be equal, under ``LONG_NAME`` letters one error is
+    allowed between them, above it two; twice as many between two names that are linked through others (``chained``)."""
+    if a == b:
+        return True
+    shorter = min(len(a), len(b))
+    if shorter < 5 or a[0].isdigit() or b[0].isdigit():
+        return False
+    return within(a, b, (2 if shorter >= LONG_NAME else 1) * (2 if chained else 1))
