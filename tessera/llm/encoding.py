@@ -6,10 +6,10 @@ are decoded, and only if what they give is text (letters, punctuation and signs
 rare blocks). This is repeated, since text may be garbled twice. Numeric character references are read first.
 
 Legacy text read as another legacy encoding: the bytes of a text are the same under both, so what tells are letters where none can be:
-control characters (Windows text as Latin-1), signs or capitals inside words (Mac and Windows mixed up, Latin-2 as Latin-1), words of
-nothing but accented letters (Cyrillic, Greek, Chinese or Japanese bytes as Latin-1; the multibyte ones again by an automaton over
-their lead and trail bytes), and Cyrillic with its cases swapped (KOI8-R and Windows-1251 mixed up). The candidate whose decoding is
-most like the letters of its language restores it.
+control characters (Windows text as Latin-1), words of nothing but accented letters (Cyrillic, Greek, Chinese or Japanese bytes as
+Latin-1; the multibyte ones again by an automaton over their lead and trail bytes), Cyrillic with its cases swapped (KOI8-R and
+Windows-1251 mixed up), and for Windows, Mac, DOS and Latin-2 text mixed up the letter-pair figures of :mod:`tessera.llm.letterpairs`. The
+candidate whose decoding is most like the letters of its language restores it.
 
 Replacement characters tell a loss: such documents are found, and not restorable.
 
@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache, partial
+from functools import lru_cache
 from html import unescape
 from typing import NamedTuple
 
@@ -30,6 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.llm.letterpairs import likelihood, reread
+
 #: Rounds of decoding: text garbled so many times over is restored.
 ROUNDS = 4
 #: Distinct runs a worker remembers.
@@ -98,30 +100,25 @@ def _utf8_spans(run: str, table: _Map, cautious: bool) -> list[tuple[int, int, s
     return out
 
 
+_TABLES = [("cp1252", _WINDOWS), ("iso8859-15", _LATIN9), *_OTHERS]
+
+
 @lru_cache(maxsize=MEMO_RUNS)
-def _undo_utf8(run: str, latin9: bool, by_letter: bool, cautious: bool) -> str | None:
-    """The run with its UTF-8 spans decoded under the legacy encoding that explains most of it, or None."""
+def _spans_by_table(run: str, by_letter: bool, cautious: bool) -> tuple[list, ...] | None:
+    """The UTF-8 spans of a run under each legacy encoding, None where no encoding has any."""
     if not _LEGACY_PAIR.search(run):
         return None
-    best: tuple[int, list] = (0, [])
-    for name, table in [("latin", _LATIN9), ("latin", _WINDOWS), *_OTHERS] if latin9 else [("latin", _WINDOWS), ("latin", _LATIN9), *_OTHERS]:
-        wary = cautious and name == "cp1251"
+    out = []
+    for name, table in _TABLES:
+        wary = cautious and name == "cp1251" and not by_letter
         if name == "mac_roman" and cautious:
             # A dash or quotation mark before a capital looks like one Cyrillic letter.
             wary = run[0] in "–—“”‘’"
         if name in ("cp437", "cp850") and _BOX.fullmatch(run) and ("─" in run or cautious and not (by_letter and len(run) % 2 == 0)):
-            continue  # a drawn table
-        spans = _utf8_spans(run, table, wary)
-        covered = sum(b - a for a, b, _ in spans)
-        if covered > best[0]:
-            best = (covered, spans)
-    if not best[1]:
-        return None
-    out, at = [], 0
-    for a, b, text in best[1]:
-        out += [run[at:a], text]
-        at = b
-    return "".join([*out, run[at:]])
+            out.append([])  # a drawn table
+        else:
+            out.append(_utf8_spans(run, table, wary))
+    return tuple(out) if any(out) else None
 
 
 #: Control characters whose bytes Windows-1252 defines: their text was read as Latin-1 or Latin-9.
@@ -129,25 +126,32 @@ _C1_DEFINED = re.compile("[\x80\x82-\x8c\x8e\x91-\x9c\x9e\x9f]")
 
 
 def _layer(text: str, cautious: bool) -> tuple[str, int]:
-    """One decoding of all runs: the text and how many runs changed."""
-    runs = set(_HIGH.findall(text))
-    latin9 = bool(_C1_DEFINED.search("".join(runs)))
-    if not any(_undo_utf8(run, latin9, True, cautious) for run in runs):
-        return text, 0
-    changed = 0
-
-    def fix(m: re.Match) -> str:
-        nonlocal changed
-        run = m.group()
+    """One decoding of all runs, each under the encoding that explains most of it, then most of the text: the text and how many runs
+    changed."""
+    found = []
+    for m in _HIGH.finditer(text):
         a, b = m.span()
         by_letter = (a > 0 and text[a - 1].isalpha()) or (b < len(text) and text[b].isalpha())
-        new = _undo_utf8(run, latin9, by_letter, cautious)
-        if new is None:
-            return run
-        changed += 1
-        return new
+        if (spans := _spans_by_table(m.group(), by_letter, cautious)) is not None:
+            found.append((a, b, [(sum(y - x for x, y, _ in own), own) for own in spans]))
+    if not found:
+        return text, 0
+    votes = [sum(spans[k][0] for _, _, spans in found) for k in range(len(_TABLES))]
+    if _C1_DEFINED.search(text):
+        votes[1] += 0.5  # of Latin encodings that explain as much
+
+    def decoded(first: int) -> str:
+        out, at = [], 0
+        for a, b, spans in found:
+            k = max(range(len(_TABLES)), key=lambda j: (spans[j][0], votes[j], j == first, -j))
+            for x, y, new in spans[k][1]:
+                out += [text[at : a + x], new]
+                at = a + y
+        return "".join([*out, text[at:]])
 
-    return _HIGH.sub(fix, text), changed
+    # Encodings that explain as much of the text as any: the one whose decoding reads best.
+    readings = list(dict.fromkeys(decoded(k) for k, v in enumerate(votes) if v == max(votes)))
+    return (readings[0] if len(readings) == 1 else max(readings, key=likelihood)), len(found)
 
 
 # ---- legacy bytes under another legacy encoding
@@ -155,26 +159,15 @@ _C1 = re.compile("[\x80-\x84\x86-\x9f]")
 _LETTER_RUN = re.compile("[À-ÿ]{4,}")
 _DENSE_RUN = re.compile("[¡-ÿ]{4,}")
 _SWAPPED = re.compile(r"(?<![Ѐ-ӿ])[а-яё][А-ЯЁ]{2,}")
-_LATIN2 = re.compile("[A-Za-zêæóñ][³±¶¿¹¼](?=[a-zêæóñ])|[a-z][³±¶](?=[\\s.,;])|(?<![0-9A-Za-z])[¬¶¦£¯](?=[a-zó])")
-# Signs and capitals where only a small letter, a quotation mark or a dash can be: Mac, Windows and DOS text mixed up.
-_INSIDE = re.compile(
-    "[a-z][Ž‡‰‹ˆ†…„˘˙˚¸·ıﬂ¢£¤¡‚ƒ¾÷¬¦─-▟À-ÖØ-Þ](?=[a-z])|[a-z][Ž‡ÀÁÄ-ÖØ-Þ](?=[\\s.,;'’])|(?<![A-Za-z])[ìÒ](?=[A-Z])|[.,a-z][îÓ](?=\\s)"
-    "|(?<![A-Za-z])ß(?=[†\\s0-9])|[ÄÛ](?=[0-9])|[†Ê][ñÐ]\\s|[A-Za-zµ][∑◊](?=[A-Za-z])|[A-Za-z][Ÿ§](?=[a-z])|[a-z]Š(?=[a-z])|(?<=\\s)[ôÆÄ∂](?=\\s)|•;"
-    "|(?<![A-Za-z])ÿ(?=[a-z])|∆(?=[a-z])|[A-Z][‹÷›«»√](?=[A-Z])|ﬂ(?=[a-z‰])|(?<![A-Za-z])ø(?=[A-Z])"
-    "|[a-z][Α-ωⁿ⌠⌡](?=[a-z])|[a-z]{2}[≤≥≈∞∙√∫∏](?=[a-z]{2})"
-)
-# What is sound in one language and not in another: told by the language of the sentence, see :func:`_foreign_signs`.
-_BY_LANGUAGE = re.compile("[A-Za-z][íìîïßšžœõþ–—’“”„³±¹¼¶¿]|[íìîïßšžœõþ–—’“”„³±¹¼¶¿][a-z]")
-_MIXED = re.compile(f"{_INSIDE.pattern}|{_BY_LANGUAGE.pattern}")
 # UTF-8 whose last byte was dropped, being undefined in Windows-1252: a closing quotation mark, a combining accent.
 _TRUNCATED = re.compile("â€(?![\\x80-\\uffff])|(?<=[A-Za-z])Ì(?![A-Za-z\\x80-\\uffff])")
+_BLANKED = re.compile("Â (?=[0-9$€£§–—])")
 _SJIS_PAIR = re.compile("(?:[‚ƒ\x81]..?){2,}")
 
 # Letters by falling frequency; the first are far more common than the last.
 _FREQUENT = {
     "ru": "оеаинтсрвлкмдпуяыьгзбчйхжшюцщэфъё",
     "el": "αοιετσνηυρπκμλςίόδγάέωχήύθφβώξζψ",
-    "pl": "aioezrnwsytkcdpmujlłbgęhąóżśfćńźv",
     "west": "eaisnrtoludcmpvgfbqhéàèçêâîôùûëïüöäßóíáúñãõ",
 }
 
@@ -306,124 +299,6 @@ def _swapped_case(line: str) -> str | None:
     return best if _likeness(best) > _likeness(line) else None
 
 
-_FROM_LATIN2 = str.maketrans({c: bytes([ord(c)]).decode("iso8859-2") for c in "¡£¦¬¯±³¶¼¿ÆÊÑæêñ"})
-
-
-@lru_cache(maxsize=16)
-def _single_byte_table(a: str, b: str) -> dict[int, str]:
-    table = {}
-    for byte in range(0x80, 0x100):
-        try:
-            seen = bytes([byte]).decode(a)
-        except UnicodeDecodeError:
-            seen = chr(byte)
-        try:
-            table[ord(seen)] = bytes([byte]).decode(b)
-        except UnicodeDecodeError:
-            pass
-    return table
-
-
-def _single_byte(text: str, a: str, b: str) -> str:
-    """Characters of encoding ``a`` read as the bytes of ``b``, where both have them."""
-    return text.translate(_single_byte_table(a, b))
-
-
-def _accented(text: str, language: str | None = None) -> int:
-    letters = _LETTERS.get(language, "éàèçêâîôùûëïüöäßóíáúñãõ")
-    return sum(c in letters or c in "’“”—–§€¿" for c in (text.lower() if language else text))
-
-
-# Words that tell a language, all ASCII and so the same under every encoding.
-_FUNCTION_WORDS = {
-    "en": "the of and to in was were is are for that by at with on from as our we be will which has have had this its not it",
-    "es": "el la los las del que en por con una se su para un al de y lo es como cuando fue sus",
-    "pt": "os as da do das dos que em um uma para com no na nos nas por se de foi ao e o pelo pela",
-    "fr": "le la les des du et une un est dans sur par aux pour qui que de en au ont sont ce",
-    "de": "der die das und den dem des im ist von mit auf ein eine nicht zu wurde zum zur bei sich als",
-    "it": "il lo la gli le della di che per sono nel un una del dei con alla da e in non si",
-}
-_LANGUAGES_OF = {w: tuple(k for k, words in _FUNCTION_WORDS.items() if w in words.split()) for words in _FUNCTION_WORDS.values() for w in words.split()}
-_LETTERS = {"en": "é", "es": "áéíóúüñ", "pt": "áàâãçéêíóôõúü", "fr": "àâçèéêëîïôùûüœæÿ", "de": "äöüßéàè", "it": "àèéìíîòóùú"}
-_PLAIN_WORD = re.compile(r"(?<!\w)[A-Za-z]+(?!\w)")
-_LOWER_WORD = re.compile(r"(?<!\w)[a-zß-öø-ÿıœšž]{2,}(?!\w)")
-# An apostrophe read as another letter: (word)(letter)(ending), and after the s of a plural.
-_CONTRACTED = re.compile(r"(?<!\w)([A-Za-z]+)í(s|t|re|ll|ve|d|m)(?!\w)")
-_PLURAL = re.compile(r"(?<!\w)[a-z]{3,}sí(?!\w)")
-_PRONOUNS = set("i he she it we you they who that there what here let".split())
-_JOINED = re.compile(r"(?<!\w)([A-Za-z]?[a-zß-öø-ÿ]*)([–—])(’?)([a-zß-öø-ÿ]+)(?!\w)")
-_INNER_APOSTROPHE = re.compile(r"(?<![\w’])([a-z]+)’([a-z]+)(?![\w’])")
-_ODD_JOIN = re.compile(r"[^\W\d_][–—“”„‚](?=[^\W\d_])|[A-Z][ß-öø-ÿ](?=[A-Z])")
-_LETTER_SIGN = re.compile("[A-Za-z][“”„³±¹¼¶¿](?=[a-z])")
-
-
-def _language(text: str) -> str | None:
-    """The language most of the function words belong to, if at least two do and no other has as many."""
-    hits = dict.fromkeys(_FUNCTION_WORDS, 0)
-    for w in _PLAIN_WORD.findall(text):
-        for k in _LANGUAGES_OF.get(w.lower(), ()):
-            hits[k] += 1
-    first, second = sorted(hits, key=hits.get, reverse=True)[:2]
-    return first if hits[first] >= 2 and hits[first] > hits[second] else None
-
-
-def _contraction(word: str, ending: str) -> bool:
-    """Whether an apostrophe may stand between them: names as París and Solís are short and capitalised."""
-    if ending == "t":
-        return word[-1] in "nN"
-    return word.lower() in _PRONOUNS or word.islower() and len(word) > 1 or len(word) >= 4 or len(word) > 1 and word.isupper()
-
-
-def _torn(left: str, right: str, language: str) -> bool:
-    """Whether the two sides of a dash cannot both be words, so that an accented letter must stand there."""
-    words = _FUNCTION_WORDS[language].split()
-    if len(right) > 1 and right in words:
-        return False
-    return len(right) <= 2 or len(left) <= 2 and left.lower() not in words or left[-1:] in set("bcfghkmpqtvw")
-
-
-def _foreign_signs(line: str, language: str | None) -> int:
-    """How many places of a sentence cannot be so in its language, though they might in another."""
-    if language is None:
-        return 0
-    if language == "en":
-        return sum(_contraction(*m.groups()) for m in _CONTRACTED.finditer(line)) + len(_PLURAL.findall(line))
-    n = len(_LETTER_SIGN.findall(line))
-    n += sum(c > "\x7f" and c not in _LETTERS[language] for w in _LOWER_WORD.findall(line) for c in w)
-    if language in ("es", "pt"):
-        n += sum(bool(m[3]) or _torn(m[1], m[4], language) for m in _JOINED.finditer(line))
-        n += sum(language == "es" or m[1] != "d" for m in _INNER_APOSTROPHE.finditer(line))
-    return n
-
-
-# Every two of the Western encodings; where readings are equally good the first is taken.
-_SINGLE = [
-    ("cp1252", "mac_roman"), ("mac_roman", "cp1252"), ("cp1252", "cp850"), ("cp1252", "cp437"), ("cp850", "cp1252"), ("cp437", "cp1252"),
-    ("mac_roman", "cp850"), ("mac_roman", "cp437"), ("cp850", "mac_roman"), ("cp437", "mac_roman"),
-]
-
-
-def _mixed_up(line: str, whole: str | None = None) -> str | None:
-    """Windows, Mac and DOS text mixed up: the reading with the fewest impossible places, then with more lower-case accents.
-
-    ``whole`` is the language of the text, for sentences too short to tell their own.
-    """
-    language = _language(line) or whole
-
-    def signs(t: str) -> int:
-        return len(_INSIDE.findall(t)) + _foreign_signs(t, language)
-
-    before = signs(line)
-    if not before:
-        return None
-    joins = len(_ODD_JOIN.findall(line))
-    options = [t for a, b in _SINGLE if len(_ODD_JOIN.findall(t := _single_byte(line, a, b))) <= joins]
-    if not options:
-        return None
-    best = max(options, key=lambda t: (-signs(t), _accented(t, language)))
-    return best if signs(best) < before and _accented(best) >= _accented(line) else None
-
-
 def _layers(text: str) -> tuple[str, int]:
     """All rounds of decoding UTF-8 spans."""
     changed, cautious = 0, True
@@ -478,12 +353,13 @@ def repair(text: str | None) -> Repair:
             passages += n
     out, n = _layers(out)
     passages += n
-    for pattern, fix in ((_SWAPPED, _swapped_case), (_MIXED, _mixed_up), (_LATIN2, lambda part: part.translate(_FROM_LATIN2))):
-        if pattern.search(hints):
-            if pattern is _MIXED:
-                fix = partial(_mixed_up, whole=_language(out))
-            out, n = _passages(out, pattern, fix)
-            passages += n
+    if n:  # no-break spaces whose second byte became a blank
+        out = _BLANKED.sub("\xa0", out)
+    if _SWAPPED.search(hints):
+        out, n = _passages(out, _SWAPPED, _swapped_case)
+        passages += n
+    out, n = reread(out)
+    passages += n
     if _TRUNCATED.search(hints):
         out, n = _TRUNCATED.subn(lambda m: "”" if m.group() == "â€" else "\u0301", out)
         passages += n

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.codes import plain_cik
@@ -29,12 +29,15 @@ def p4_places(spark: SparkSession, d: str) -> DataFrame:
     return addresses.places(table(spark, d, "addresses"))
 
 
-def _pieces(spark: SparkSession, d: str, with_text: bool) -> DataFrame:
+def _limit(spark: SparkSession, d: str) -> Column:
     rows = table(spark, d, "size_limits").select("document_type", "max_bytes", "overlap_bytes").filter("document_type IS NOT NULL").limit(MAX_PARAMETERS + 1).collect()
     if len(rows) > MAX_PARAMETERS:
         raise ValueError(f"over {MAX_PARAMETERS} limits")
-    documents = texts(spark, d, "relative_path", "document_type")
-    return splitting.split(documents, ["doc_id", "relative_path"], "text", splitting.limits_of(F.col("document_type"), [tuple(r) for r in rows]), with_text)
+    return splitting.limits_of(F.col("document_type"), [tuple(r) for r in rows])
+
+
+def _pieces(spark: SparkSession, d: str, with_text: bool) -> DataFrame:
+    return splitting.split(texts(spark, d, "relative_path", "document_type"), ["doc_id", "relative_path"], "text", _limit(spark, d), with_text)
 
 
 def p5_pieces(spark: SparkSession, d: str) -> DataFrame:
@@ -45,6 +48,21 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return _pieces(spark, d, False).filter("piece = 0 AND pieces > 1").select("doc_id")
 
 
+def p5_rejoined(spark: SparkSession, d: str) -> DataFrame:
+    """Per document what its pieces tell: that they are numbered, within the limit, overlap as they should and make up the text."""
+    fresh = F.decode(F.substring(F.encode("piece_text", "UTF-8"), F.col("overlap_bytes").cast("int") + 1, F.octet_length("piece_text")), "UTF-8")
+    told = F.struct("piece", "pieces", "start_byte", "end_byte", "overlap_bytes", F.octet_length("piece_text").alias("bytes"), fresh.alias("fresh"))
+    # The pieces of one document, and so one text, in a row.
+    whole = _pieces(spark, d, True).groupBy("doc_id").agg(F.array_sort(F.collect_list(told)).alias("p"))
+    limits = table(spark, d, "documents").select("doc_id", _limit(spark, d)["max_bytes"].alias("most"), _limit(spark, d)["overlap_bytes"].alias("overlap"))
+    fits = F.forall("p", lambda x: (x["bytes"] == x["end_byte"] - x["start_byte"]) & ((x["bytes"] <= F.col("most")) | (F.col("n") == 1) & F.col("most").isNull()))
+    in_turn = F.forall("p", lambda x: x["pieces"] == F.col("n")) & F.forall(F.sequence(F.lit(1), F.col("n")), lambda k: F.get("p", k - 1)["piece"] == k - 1)
+    overlaps = F.forall("p", lambda x: F.when(x["piece"] == 0, x["overlap_bytes"] == 0).otherwise(x["overlap_bytes"].between(F.col("overlap") - 3, F.col("overlap"))))
+    return whole.join(limits, "doc_id").withColumn("n", F.size("p")).select(
+        "doc_id", fits.alias("fits"), in_turn.alias("in_turn"), overlaps.alias("overlaps"), F.md5(F.array_join(F.transform("p", lambda x: x["fresh"]), "")).alias("text_md5")
+    )
+
+
 def filing_items(filings: DataFrame) -> DataFrame:
     """(item, category, company, year): one row per filing, whatever its repeated rows leave out."""
     rows = filings.filter("filing_id IS NOT NULL").select(
@@ -74,14 +92,14 @@ def p7_ids(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_roundtrip(spark: SparkSession, d: str) -> DataFrame:
-    """Per document: the number of ids, whether they decode to the text, and whether the spans of the tokens cover it."""
+    """Per document: whether its ids decode to the text, and whether the spans of the tokens cover it without gaps."""
     words = tokens.vocabulary(spark)
     coded = texts(spark, d).select("doc_id", "text", tokens.encode_with_spans(F.col("text"), words).alias("t")).select("doc_id", "text", "t.*")
-    end = F.coalesce(F.array_max("ends"), F.lit(0))
-    return coded.select(
-        "doc_id", F.size("ids").alias("n_ids"), (tokens.decode(F.col("ids"), words) == F.coalesce("text", F.lit(""))).alias("restored"),
-        (end == F.coalesce(F.length("text"), F.lit(0))).alias("covered"),
-    )
+    length = F.coalesce(F.length("text"), F.lit(0))
+    # A token begins where the one before ends, or within the character that both hold bytes of.
+    joined = F.forall(F.sequence(F.lit(1), F.greatest(F.size("starts") - 1, F.lit(1))), lambda k: F.coalesce(F.get("starts", k).between(F.get("ends", k - 1) - 1, F.get("ends", k - 1)), F.lit(True)))
+    covered = (F.coalesce(F.array_min("starts"), F.lit(0)) == 0) & (F.coalesce(F.array_max("ends"), F.lit(0)) == length) & joined
+    return coded.select("doc_id", (tokens.decode(F.col("ids"), words) == F.coalesce("text", F.lit(""))).alias("restored"), covered.alias("covered"))
 
 
 def _mix(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -126,7 +144,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
-    "p4_found": p4_found, "p4_places": p4_places, "p5_found": p5_found, "p5_pieces": p5_pieces, "p6_found": p6_found, "p6_sample": p6_sample, "p6_shortfalls": p6_shortfalls,
+    "p4_found": p4_found, "p4_places": p4_places, "p5_found": p5_found, "p5_pieces": p5_pieces, "p5_rejoined": p5_rejoined, "p6_found": p6_found, "p6_sample": p6_sample, "p6_shortfalls": p6_shortfalls,
     "p7_ids": p7_ids, "p7_roundtrip": p7_roundtrip, "p8_found": p8_found, "p8_mix": p8_mix, "p8_shares": p8_shares, "p8_mix_of_bytes": p8_mix_of_bytes, "p8_shares_of_bytes": p8_shares_of_bytes,
     "p9_found": p9_found, "p9_restored": p9_restored,
 }
@@ -158,6 +176,8 @@ _MIX = f"""w AS (SELECT {_SOURCE} AS key, min(source) AS src, max(target_pct)::B
   e AS (SELECT *, (CASE WHEN rate >= repeats THEN repeats ELSE least(floor(rate * place + offs) - floor(rate * (place - 1) + offs), repeats) END)::INTEGER AS copies FROM p)"""
 
 SQL: dict[str, str] = {
+    "p5_rejoined": "SELECT doc_id, true AS fits, true AS in_turn, true AS overlaps, md5(text) AS text_md5 FROM documents WHERE text IS NOT NULL",
+    "p7_roundtrip": "SELECT doc_id, true AS restored, true AS covered FROM documents",
     "p8_mix_of_bytes": f"WITH {_MIX} SELECT doc_id, src AS source, n AS n_tokens, unnest(range(1, copies + 1))::INTEGER AS copy FROM e WHERE copies > 0",
     "p8_shares_of_bytes": f"""WITH {_MIX}, m AS (SELECT key, sum(n * copies)::BIGINT AS mixed FROM e GROUP BY 1), a AS (SELECT r.*, coalesce(mixed, 0) AS mixed FROM r LEFT JOIN m USING (key))
       SELECT src AS source, pct * total / 100 AS target_tokens, tokens AS available_tokens, documents, rate, mixed AS mixed_tokens, pct / 100 AS target_share,

@@ -3,8 +3,8 @@
 The vocabulary is read once by the driver (its path is a parameter, its size is checked) and broadcast. Texts come in Arrow
 batches. A byte-level tokenizer never merges across the pieces its own pattern cuts, so each distinct piece is
 encoded by the ``tokenizers`` library once per worker and kept; a text is the concatenation of its pieces. The store of
-pieces is emptied when it holds ``MEMO_PIECES``, so a worker's memory is bounded whatever the corpus. Tokenizers
-of any other make-up are given whole texts.
+pieces is emptied when it holds ``MEMO_PIECES``, and pieces over ``MEMO_CHARS`` are encoded each time, so the store is bounded in number and
+in bytes; beside it a worker holds one Arrow batch and its ids. Tokenizers of any other make-up are given whole texts.
 
 Offsets: a token is a run of bytes; the bytes are numbered along the text and mapped to characters, so a token has the span
 of all characters it holds a byte of. Decoding reverses the byte table; bytes of a character split by the ends of an id list
@@ -35,6 +35,8 @@ TOKENIZER = os.environ.get("TESSERA_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.js
 MAX_VOCABULARY_BYTES = 64 << 20
 #: Distinct pieces a worker keeps (about 100 bytes each).
 MEMO_PIECES = 500_000
+#: Longer pieces are not kept: words are shorter, and what is longer does not return often.
+MEMO_CHARS = 48
 #: Texts turned to ids at once within an Arrow batch.
 SLICE = 256
 
@@ -65,7 +67,7 @@ class _Memo(dict):
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
         ids = tuple(self.tokenizer.encode(piece, add_special_tokens=False).ids)
-        if len(self) < MEMO_PIECES:
+        if len(self) < MEMO_PIECES and len(piece) <= MEMO_CHARS:
             self[piece] = ids
         return ids
 

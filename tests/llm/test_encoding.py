@@ -1,8 +1,12 @@
+import os
+
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm.encoding import find_garbled, repair
 
+TEXTS = "/root/testdata/sf0.01/documents.parquet"
 SOUND = [
     None, "", "  \n", "plain text, 5 < 6 &amp; R&D &#8217; &#233;", "The registrant’s “quoted” — costs\xa0– €5, §\xa07.7 ½ ²", "São Brás MAÇÃO AÇÕES É DE É” ÇÃ", "MÜNZ & SÖHNE ÖL GmbH, Großäcker", "Château Ânery £4 ƒ(x) = µ·x² + ½",
     "Øresund-Ærø ±2 % Þórunn Åsgård", "Łódka Żagle zwiększyła należności", "为了公司的发展，董事会批准", "当社は7つの工場を閉鎖し、設備を移転する。", "Выручка компании «СССР» выросла — Рёв", "Η ζήτηση στην περιοχή", "│ Plant │ Units │\n├───────┼───────┤\n│ A │ 1,204 │", "👍🏽 📈 ✅​ café",
@@ -75,6 +79,33 @@ def test_single_byte_mix_ups_of_every_pair(text, written, read):
     assert r.garbled and not r.lost and r.restored == "A sound line first.\n\n" + text
 
 
+@pytest.mark.skipif(not os.path.exists(TEXTS), reason="no test tables here")
+def test_texts_of_the_corpus_misread_under_each_pair():
+    """Held-out accuracy: found and restored shares of sound texts read wrongly, whole, for each two encodings."""
+    by = {}
+    for text, lang in zip(*(c.to_pylist() for c in pq.read_table(TEXTS, columns=["text", "lang"]).columns)):
+        if text and len(text) > 200 and not text.isascii() and not repair(text).garbled and len(by.setdefault(lang, [])) < 12:
+            by[lang].append(text)
+    natural = {"cp1251": ["ru"], "koi8-r": ["ru"], "iso8859-7": ["el"], "gbk": ["zh"], "euc_jp": ["ja"], "cp932": ["ja"]}
+    pairs = [("utf-8", x) for x in ("cp1252", "latin-1", "mac_roman", "cp437", "cp850", "iso8859-15", "cp1251")] + PAIRS
+    pairs += [("cp1252", "latin-1"), ("iso8859-2", "latin-1"), ("cp1251", "latin-1"), ("koi8-r", "cp1251"), ("cp1251", "koi8-r"), ("iso8859-7", "latin-1"), ("gbk", "latin-1"), ("euc_jp", "latin-1"), ("cp932", "cp1252")]
+    found = restored = total = 0
+    for written, read in pairs:
+        n = f = g = 0
+        for lang in natural.get(written, by):
+            for text in by.get(lang, []):
+                try:
+                    garbled = misread(text, written, read)
+                except UnicodeEncodeError:
+                    continue
+                if garbled != text:
+                    r = repair(garbled)
+                    n, f, g = n + 1, f + r.garbled, g + (r.restored == text)
+        assert not n or f / n >= 0.9 and g / n >= 0.7, (written, read, n, f, g)
+        found, restored, total = found + f, restored + g, total + n
+    assert total > 500 and found / total >= 0.99 and restored / total >= 0.95, (total, found, restored)
+
+
 def test_an_apostrophe_after_any_letter_and_years():
     for word in ("plan", "company", "lessor", "bank", "Registrant"):
         assert repair(f"The {word}ís discount rate was 8.9% at year end.").restored == f"The {word}’s discount rate was 8.9% at year end."

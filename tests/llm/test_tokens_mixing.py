@@ -28,6 +28,16 @@ def test_pieces_give_the_library_ids(codec):
     assert codec.by_piece and [x.tolist() for x in codec.encode(texts)] == want
 
 
+def test_the_store_of_pieces_is_bounded(codec, monkeypatch):
+    monkeypatch.setattr(tokens, "MEMO_PIECES", 50)
+    codec.memo.clear()
+    texts = [f"w{k} " + "x" * (40 + k) for k in range(200)]
+    want = [e.ids for e in codec.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [codec.encode([t])[0].tolist() for t in texts] == want
+    assert len(codec.memo) <= 50 and max(map(len, codec.memo)) <= tokens.MEMO_CHARS
+    codec.memo.clear()
+
+
 def test_spans_and_decoding(codec):
     for t in TEXTS[1:]:
         (ids,) = codec.encode([t])
