@@ -16,10 +16,10 @@ from functools import lru_cache
 
 # Sample sentences, written for this purpose; each language's letters beyond ASCII in ordinary words.
 SAMPLE = """
-The company’s plan isn’t final; we’ve said it won’t change the lessor’s rights, and they’re sure it’s fair. “We shipped more,” the bank’s chairman said, “than in any year.” The registrants’ notes — due in May — bear 5% interest. Under § 7.2 and § 12 of the Act’s rules the cost was €5.3 million, or £4 a unit. Revenue – net of returns – rose. It doesn’t matter that he’d paid; I’m told they’ll pay. The café’s lease was renewed… • Item one • Item two © 2011 the Registrant® and Brand™ products, 20° C, ½ inch, ¼ mile, ±2%, 5 × 3 and 7 ÷ 2. Don’t say ‘never’ or ‘almost’. The directors’ fees were $3 million; the officers’ pay fell. The résumé was sent. Its plant’s output—the region’s largest—was sold. Employees’ shares, holders’ votes and years’ work. The bonds’ fair value and customers’ deposits. “The fund’s fees,” “a unit’s price” and “The trust” were defined (“Plan”), (the “Notes”) and (‘the Act’). She’s here. You’re late. ¢5 and ¥300 were paid¹ in full² under note³. The rate is ƒ(x) = µ·x² + ½ and f(y) = µ·y² − 2·π·r, where Ω ≤ 5 and α ≥ 1. A loss of €20.4 million, of which €3 and €519.5 were in cash; debts of £6.5 million.
+The company’s plan isn’t final; we’ve said it won’t change the lessor’s rights, and they’re sure it’s fair. “We shipped more,” the bank’s chairman said, “than in any year.” The registrants’ notes — due in May — bear 5% interest. Under § 7.2 and § 12 of the Act’s rules the cost was €5.3 million, or £4 a unit. Revenue – net of returns – rose. It doesn’t matter that he’d paid; I’m told they’ll pay. The café’s lease was renewed… • Item one • Item two © 2011 the Registrant® and Brand™ products, 20° C, ½ inch, ¼ mile, ±2%, 5 × 3 and 7 ÷ 2. Don’t say ‘never’ or ‘almost’. The directors’ fees were $3 million; the officers’ pay fell. The résumé was sent. Its plant’s output—the region’s largest—was sold. Employees’ shares, holders’ votes and years’ work. The bonds’ fair value and customers’ deposits. “The fund’s fees,” “a unit’s price” and “The trust” were defined (“Plan”), (the “Notes”) and (‘the Act’). She’s here. You’re late. ¢5 and ¥300 were paid¹ in full² under note³. The rate is ƒ(x) = µ·x² + ½ and f(y) = µ·y² − 2·π·r, where Ω ≤ 5 and α ≥ 1. A loss of €20.4 million, of which €3 and €519.5 were in cash; debts of £6.5 million. Over ten years\u00a0– one part each year; Part 2\u00a0– Results; Note\u00a07, page\u00a012, § 4\u00a0and ¶ 9; amounts are in €, in £ and in ¥; see ¶ 3. Names with ™ and ® and © marks: ™ and ® are the owner’s.
 La société a cédé son usine de pièces détachées à l’été, naïve et gâtée. Le chiffre d’affaires s’élève à 5 €, grâce à la clientèle. L’année dernière, le bénéfice a été réduit ; les intérêts étaient élevés. Où êtes-vous ? Le maître d’œuvre a reçu un prêt très élevé de la même banque. Le conseil a décidé de créer une filiale française dès que possible. L’âge moyen des employés, après la réunion, a diminué. « Noël » et maïs, île, aîné, coûts, sûr, goût, août, dû, hôtel, côté, contrôle, bientôt. Les états financiers consolidés ont été arrêtés. À la suite de l’opération, Émile et Étienne ont préféré rester. Les coûts d’acquisition ont été réévalués, les dépenses générées. Cœur, sœur, vœu, bœuf, manœuvre. Le bâtiment, la tâche, château, pâte. Français, façon, leçon, garçon, reçu, ça. Dépôts, pôle, trône, rôle. Forêt, arrêt, fête, intérêt, bête, têtes. Système, problème, règle, père, frère, dernière, première, matière, manière. Haïti, Israël, coïncidence, ambiguë, aiguë. Déjà, là, voilà, delà. Connaître, paraît, boîte, chaîne, fraîche. Où, pénurie, équipe, école, écart, énergie, échange, économie, été, évolution.
 Der Umsatz stieg im Jahr für das Geschäft über die Maßnahmen. Die Rückstellungen betrugen höhere Erträge. Größe, Straße, Fuß, groß, schließlich, müssen, können, möglich, während, natürlich, zurück, Rückgang, gegenüber, für, früher, künftig, Verkäufe, Verträge, Zuschüsse, Verhältnis, Gebäude, Schäden, Löhne, Erlöse, Vermögen, Behörde, wöchentlich, öffentlich, Öffnung, Übernahme, Änderung, Ähnlich, überprüft, später, erhöht, „Qualität“ und „Größe“, gemäß, außerdem, heißt, weiß, Beschlüsse, Anhänge, Kürzung, Führung, Prüfung, Gewährleistung, Wärme, Fläche, Läden, Mängel, Fälle, Bänke, dürfen, würde, Bündel, Grün, fünf, zwölf, Söhne, König, schön, hören, lösen, Zölle, Böden, Gefäß, Spaß, Gruß, München, Köln, Nürnberg, Österreich, jährlich, vierteljährlich, Beiträge, Erklärung, Ergänzung, zusätzlich, unabhängig, nächste, Stärke, beschäftigt, Tätigkeit, Aktivität, Liquidität, tatsächlich, Gespräche.
-La pérdida cambiaria del último trimestre según informó el señor. El año en que la producción de la región creció más de lo previsto. ¿Qué ocurrió con los préstamos? ¿Cuándo se pagó? ¡Atención! Se pagaron los días del código. La compañía señaló que también podría vender acciones. España, país, Perú, Bogotá, México, Panamá, así, allí, aquí, está, están, será, después, además, interés, través, inglés, francés, crédito, débito, público, técnico, médico, período, líquido, artículo, título, número, única, junio, millón, razón, opinión, inversión, división, sesión, reunió, aprobó, aumentó, disminuyó, subió, bajó, cayó, perdió, vendió, compró, pagará, tendrá, deberá, energía, garantía, minería, economía, mayoría, tecnología, había, podía, tenía, niño, pequeño, mañana, daño, dueño, desempeño, otoño, ñandú, vergüenza, lingüística, pingüino, árbol, área, él, éxito, índice, órgano, ámbito, «mercado», fácil, difícil, útil, móvil, móviles, automóvil, Ángel, Álvarez, Núñez, Muñoz, García, Martínez, Rodríguez, González. Óscar y Íñigo. Aún, según, algún, ningún, común, atún. Cómo, dónde, quién, cuál, cuánto, sólo, tú, mí, sí, té, más, dé. La empresa—la mayor del sector—vende; el grupo—sin la filial—creció—según se dijo—un poco. El tramo Madrid–Lisboa, precio–valor, páginas 3–5. Capítulo, cálculo, máquina, página, básico, práctico, clásico. Décimo, séptimo, método, época. 1.º y 2.ª.
+La pérdida cambiaria del último trimestre según informó el señor. El año en que la producción de la región creció más de lo previsto. ¿Qué ocurrió con los préstamos? ¿Cuándo se pagó? ¿Cómo? ¿Dónde? ¿Quién? ¡Atención! Se pagaron los días del código. La compañía señaló que también podría vender acciones. España, país, Perú, Bogotá, México, Panamá, así, allí, aquí, está, están, será, después, además, interés, través, inglés, francés, crédito, débito, público, técnico, médico, período, líquido, artículo, título, número, única, junio, millón, razón, opinión, inversión, división, sesión, reunió, aprobó, aumentó, disminuyó, subió, bajó, cayó, perdió, vendió, compró, pagará, tendrá, deberá, energía, garantía, minería, economía, mayoría, tecnología, había, podía, tenía, niño, pequeño, mañana, daño, dueño, desempeño, otoño, ñandú, vergüenza, lingüística, pingüino, árbol, área, él, éxito, índice, órgano, ámbito, «mercado», fácil, difícil, útil, móvil, móviles, automóvil, Ángel, Álvarez, Núñez, Muñoz, García, Martínez, Rodríguez, González. Óscar y Íñigo. Aún, según, algún, ningún, común, atún. Cómo, dónde, quién, cuál, cuánto, sólo, tú, mí, sí, té, más, dé. La empresa—la mayor del sector—vende; el grupo—sin la filial—creció—según se dijo—un poco. El tramo Madrid–Lisboa, precio–valor, páginas 3–5. Capítulo, cálculo, máquina, página, básico, práctico, clásico. Décimo, séptimo, método, época. 1.º y 2.ª.
 A produção da empresa não foi entregue no prazo; as ações e opções de março estão em situação regular. O conselho aprovou a emissão de debêntures. São Paulo, não, então, mão, irmão, pão, avião, verão, são, estão, serão, poderão, milhão, milhões, bilhões, ações, obrigações, operações, condições, informações, reduções, previsões, decisões, razões, informação, administração, adição, provisão, previsão, divisão, ocasião, região, cidadão, órgão, órgãos, mães, alemães, põe, propõe, à vista, às vezes, àquele, também, além, porém, ninguém, armazém, você, três, mês, inglês, português, câmbio, âmbito, finança, finanças, diferença, licença, serviço, preço, balanço, espaço, início, exercício, benefício, negócio, contrário, salário, funcionário, necessário, último, únicos, público, crédito, período, líquido, média, mídia, lucro, país, saída, juízo, ruína, saúde, conteúdo, já, há, lá, será, está, até, é, pé, café, avó, pó, só, após, voo, cinquenta, têm, vêm, ônus, ônibus, bônus, econômico, eletrônico, endereço, cabeça, força, março, março, aço, braço, ção, peça, caça, maçã, lã, manhã, amanhã, irmã, constituíção, atribuída, incluída, reduziu, próprio, próxima, histórico, relatório, acionária, tributária, monetária, Índia, África, Ásia. O grupo—sem a filial—cresceu; a linha Porto–Lisboa, páginas 3–5.
 L’utile netto è più alto; la società non può però pagare perché il debito è già salito. Città, qualità, attività, proprietà, liquidità, già, là, sarà, avrà, potrà, è, né, perché, poiché, finché, cioè, caffè, lunedì, martedì, così, lì, sì, può, però, ciò, andò, pagò, aumentò, virtù, più, giù, Perù. Dell’anno, nell’esercizio, un’azione, all’estero, l’impresa, d’affari, quest’anno.
 Spółka zwiększyła przychody, Zarząd zamknął zakład części zamiennych. Należności przeterminowane wyniosły więcej. Rada nadzorcza zebrała się trzy razy w ciągu roku, również dla członków. Zysk, strata, różnice, źródło, źródła, środki, śródroczne, świadczenia, ściśle, żaden, żeby, możliwość, wartość, działalność, jakość, część, wysokość, płynność, należność, są, będą, mogą, ją, tą, drogą, spółką, umową, się, nią, tę, chcę, mogę, pieniądze, wynagrodzenia, państwo, dzień, koniec, końca, ubezpieczeń, zobowiązań, zamówień, był, była, było, były, został, została, zostały, zmniejszył, złoty, złotych, główny, który, która, które, których, wzór, góra, król, ogółem, spółki, spółek, kwartał, udział, kapitał, zespół, łącznie, Łódź, Łukasz, łatwo, ćwierć, zapłacić, wypłacić, przyjąć, zamknąć, zamierza, powyżej, poniżej, też, już, również, sprzedaż, także, każdy, dłużny, pożyczka, dług, długi, krótki, krótkoterminowe, Śląsk, Życie, Żywiec.
