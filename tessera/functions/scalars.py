@@ -81,6 +81,11 @@ def index_url(year: Column, quarter: Column, root: str = "https://www.sec.gov/Ar
     return F.format_string(f"{root}/%d/QTR%d/master.idx", year, quarter)
 
 
+def index_path(year: Column, quarter: Column, root: str = "index") -> Column:
+    """Where the index of a quarter is kept: ``<root>/<year>/QTR<quarter>/master.idx``."""
+    return F.format_string(f"{root}/%d/QTR%d/master.idx", year, quarter)
+
+
 def filing_path(form: Column, cik: Column, date_filed: Column, filename: Column, company: Column) -> Column:
     """``raw/<year>/<form>/<cik, ten digits>__<date>__<accession>__<company>.txt``."""
     name = F.concat_ws("__", padded_cik(cik), date_filed, accession_of(filename), sanitize_filename(company))
@@ -131,6 +136,7 @@ def decode_text(raw: Column) -> Column:
     return F.coalesce(F.try_validate_utf8(raw.cast("string")), F.decode(raw, "ISO-8859-1"))
 
 
+# What counts as markup, white space and a word in cleaned texts.
 def normalize_space(c: Column) -> Column:
     s = F.regexp_replace(F.replace(c, F.lit("\x00"), F.lit(" ")), "\r\n?", "\n")
     return strip(F.regexp_replace(F.regexp_replace(s, "[ \t\f\\x0B]+", " "), "\n{3,}", "\n\n"))

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.scalars import FORM_ORDER, FORM_WEIGHTS, seeded_order
+from tessera.functions.scalars import FORM_ORDER, FORM_WEIGHTS, cik_any, form_key, seeded_order, strip
+from tessera.operators.relational import first_by
 from tessera.session import stored
 
 #: A group's order is cut into so many bins: 16 to the power of the leading hex digits of its hash.
@@ -116,10 +117,24 @@ def round_robin(rows: DataFrame, quotas: DataFrame, keys: list[str], seed: int,
     return ranked.filter(F.col("_before") + F.col("_rank") <= F.col("quota")).drop("_before", "_rank", "quota")
 
 
-def top_up(candidates: DataFrame, lack: DataFrame, weights: dict[str, float], seed: int, key: str) -> DataFrame:
+def top_up_candidates(manifest: DataFrame, weak: DataFrame, universe: DataFrame, paths: DataFrame, keys: DataFrame, forms: tuple[str, ...] = FORM_ORDER) -> DataFrame:
+    """Manifest rows (cik, form_type, date_filed, output_path, accession, filing_url) that may fill the weak years: of a wanted form, a year
+    of ``weak`` and a company of ``universe``, whose path is not in ``paths`` (rel_path) and whose (cik, accession) not in ``keys``.
+    Paths are compared with slashes, company numbers without leading zeros."""
+    rows = manifest.withColumn("form_type", form_key(F.col("form_type"))).withColumn("cik", cik_any(F.col("cik"))).withColumn("year", F.substring(strip(F.col("date_filed")), 1, 4)).withColumn("accession", F.coalesce(strip(F.col("accession")), F.lit("")))
+    wanted = rows.filter(F.col("form_type").isin(*forms)).join(weak.select("year").distinct(), "year", "left_semi").join(universe.select("cik").distinct(), "cik", "left_semi")
+    slashed = lambda c: strip(F.replace(F.coalesce(c, F.lit("")), F.lit("\\"), F.lit("/")))
+    there = paths.select(slashed(F.col("rel_path")).alias("_path")).distinct()
+    fresh = wanted.withColumn("_path", slashed(F.col("output_path"))).join(there, "_path", "left_anti").drop("_path")
+    done = keys.filter("accession <> ''").select(cik_any(F.col("cik")).alias("cik"), "accession").distinct()
+    return fresh.join(done, ["cik", "accession"], "left_anti")
+
+
+def top_up(candidates: DataFrame, lack: DataFrame, weights: dict[str, float], seed: int, key: str, identity: tuple[str, ...] = ()) -> DataFrame:
     """Rows that fill the weak years: quotas per form, a diverse draw per form, then a diverse draw of the rest, each key once.
 
-    ``lack`` has year and deficit; ``candidates`` have year, form_type, cik and the key (blank keys are dropped).
+    ``lack`` has year and deficit; ``candidates`` have year, form_type, cik and the key (blank keys are dropped). What is left after the first
+    draw is told by ``identity`` (such as cik, accession, url), else by the key.
     """
     candidates = stored(candidates)  # read for the counts, both draws and what is left
     have = candidates.groupBy("year", "form_type").agg(F.count("*").alias("available"))
@@ -127,7 +142,8 @@ def top_up(candidates: DataFrame, lack: DataFrame, weights: dict[str, float], se
     first = stored(round_robin(candidates, quotas, ["year", "form_type"], seed, key).drop("turn"))
     got = first.groupBy("year").agg(F.count("*").alias("_got"))
     still = lack.join(got, "year", "left").select("year", (F.col("deficit") - F.coalesce("_got", F.lit(0))).alias("quota")).filter("quota > 0")
-    rest = candidates.join(first.select(key), key, "left_anti")
+    taken = first.select(*(F.col(c).alias(f"_{c}") for c in identity or (key,))).distinct()
+    rest = candidates.join(taken, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in identity or (key,)], "left_anti")
     extra = round_robin(rest, still, ["year"], seed + 999, key).drop("turn")
     out = first.select(*candidates.columns).unionByName(extra.select(*candidates.columns))
-    return out.filter(F.coalesce(F.trim(key), F.lit("")) != "").dropDuplicates([key])
+    return first_by(out, key, [*(identity or ()), "year", "form_type", "cik"])

@@ -50,12 +50,14 @@ def in_universe(df: DataFrame, keys: DataFrame, cik: Column, flag: str = "in_uni
 
 
 def manifest_reasons(manifest: DataFrame, keys: DataFrame, forms: list[str], years: tuple[int, int] | None = None) -> DataFrame:
-    """Each row with ``reason``: form, year, cik or kept, in that order; one pass, the form written in its normal way."""
+    """Each row with ``reason``: form, year, cik or kept, in that order, in one pass. Without ``years`` the form is written in its normal way,
+    with it the row stays as it is."""
     flagged = in_universe(manifest, keys, cik_loose(F.col("cik")), "_in")
     reason = F.when(~wanted_form(F.col("form_type"), forms), "form")
     if years:
         reason = reason.when(~year_between(F.col("date_filed"), *years), "year")
-    return flagged.withColumn("reason", reason.when(F.col("_in") == 0, "cik").otherwise("kept")).withColumn("form_type", form_key(F.col("form_type"))).drop("_in")
+    told = flagged.withColumn("reason", reason.when(F.col("_in") == 0, "cik").otherwise("kept")).drop("_in")
+    return told if years else told.withColumn("form_type", form_key(F.col("form_type")))
 
 
 def reason_counts(reasons: DataFrame) -> DataFrame:
@@ -68,12 +70,18 @@ def purge_candidates(files: DataFrame, keys: DataFrame) -> DataFrame:
     return flagged.withColumn("class", F.when(cik_of_file(F.col("file_name")) == "", "unclassified").when(F.col("_in") == 1, "allowed").otherwise("undesired")).drop("_in")
 
 
-def purge_report(classified: DataFrame) -> DataFrame:
-    """Per year and in total (year null): files scanned, allowed, left untouched, undesired and their bytes."""
+def purge_report(classified: DataFrame, log: DataFrame | None = None) -> DataFrame:
+    """Per year and in total (year null): files scanned, allowed, left untouched, undesired and their bytes, and what the log of
+    deletions (year, status, size_bytes) tells: files and bytes deleted, failures."""
     bad = F.col("class") == "undesired"
-    return classified.rollup("year").agg(
-        F.count("*").alias("filing_files_scanned"), F.count_if(F.col("class") == "allowed").alias("allowed_cik_files"), F.count_if(F.col("class") == "unclassified").alias("unclassified_files_left_untouched"),
-        F.count_if(bad).alias("undesired_files"), F.coalesce(F.sum(F.when(bad, F.col("size_bytes"))), F.lit(0)).cast("bigint").alias("undesired_bytes"),
+    gone, failed = F.col("status") == "deleted", F.col("status").isin("missing_before_delete", "delete_failed")
+    total = lambda test, what: F.coalesce(F.sum(F.when(test, F.col(what))), F.lit(0)).cast("bigint")
+    rows = classified.select("year", "class", "size_bytes", F.lit(None).cast("string").alias("status"))
+    if log is not None:
+        rows = rows.unionByName(log.select("year", F.lit(None).cast("string").alias("class"), "size_bytes", "status"))
+    return rows.rollup("year").agg(
+        F.count("class").alias("filing_files_scanned"), F.count_if(F.col("class") == "allowed").alias("allowed_cik_files"), F.count_if(F.col("class") == "unclassified").alias("unclassified_files_left_untouched"),
+        F.count_if(bad).alias("undesired_files"), total(bad, "size_bytes").alias("undesired_bytes"), F.count_if(gone).alias("deleted_files"), total(gone, "size_bytes").alias("deleted_bytes"), F.count_if(failed).alias("delete_failures"),
     )
 
 
@@ -155,10 +163,50 @@ def weakest_year(year_counts: DataFrame, at_least: int, override: int | None = N
     return usable.orderBy("doc_count", "year").limit(1).select("year", "doc_count", target.alias("target_per_year"))
 
 
-def weak_years(year_counts: DataFrame, target: int, most: int = 0) -> DataFrame:
-    """Years under the target and what they lack, capped if ``most`` is positive."""
-    lack = F.lit(target) - F.col("doc_count")
-    return year_counts.filter(F.col("doc_count") < target).select("year", "doc_count", (F.least(lack, F.lit(most)) if most > 0 else lack).cast("bigint").alias("deficit"))
+def weak_years(year_counts: DataFrame, target: DataFrame, most: int = 0) -> DataFrame:
+    """Years under the target (a table of one row and column) and what they lack, capped if ``most`` is positive."""
+    aim = target.select(target.columns[0]).limit(1).scalar()  # a subquery of one number
+    lack = aim - F.col("doc_count")
+    return year_counts.filter(F.col("doc_count") < aim).select("year", "doc_count", (F.least(lack, F.lit(most)) if most > 0 else lack).cast("bigint").alias("deficit"))
+
+
+def years_covered(docs: DataFrame) -> DataFrame:
+    """One row: the sorted distinct years."""
+    return docs.filter("year IS NOT NULL").select("year").distinct().agg(F.array_sort(F.collect_list("year")).alias("years"))
+
+
+def form_stats(docs: DataFrame, forms: tuple[str, ...], size: str = "n_words") -> DataFrame:
+    """:func:`length_stats` of the given forms, with zeros for forms that have no document."""
+    wanted = docs.sparkSession.createDataFrame([(f,) for f in forms], "form_type string")
+    return wanted.join(length_stats(docs, "form_type", size), "form_type", "left").na.fill(0, ["docs", "avg_size", "median_size"])
+
+
+def shard_totals(results: DataFrame, shard: str, *measures: str) -> DataFrame:
+    """Sums of the measures over the shards' results, and how many shards there are."""
+    return results.agg(F.count_distinct(shard).alias("shards"), *(F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in measures))
+
+
+def size_shards(files: DataFrame, shards: int, key: str, size: str) -> DataFrame:
+    """``files`` with shard and turn: the largest first, dealt out to and fro, so that the shards' sizes differ by no more than one file.
+
+    Ranks are needed over the whole inventory (one row a file): they come from counts of the distinct sizes, so no task sorts all files.
+    """
+    counts = files.groupBy(F.coalesce(F.col(size), F.lit(0)).alias("_s")).agg(F.count("*").alias("_n"))
+    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy(F.desc("_s")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # one row per distinct size
+    within = files.withColumn("_s", F.coalesce(F.col(size), F.lit(0))).withColumn("_in", F.row_number().over(Window.partitionBy("_s").orderBy(key)))
+    place = F.col("_before") + F.col("_in") - 1
+    turn = F.floor(place / shards)
+    shard = F.when(turn % 2 == 0, place % shards).otherwise(shards - 1 - place % shards)
+    return within.join(before.select("_s", "_before"), "_s").select(*files.columns, shard.cast("int").alias("shard"), turn.cast("bigint").alias("turn"))
+
+
+def status_report(**counted: DataFrame) -> DataFrame:
+    """(stage, status, n) over the status columns of several tables."""
+    parts = [df.groupBy(F.lit(stage).alias("stage"), "status").agg(F.count("*").alias("n")) for stage, df in counted.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def first_by(df: DataFrame, key: str, order: list[str]) -> DataFrame:

@@ -10,12 +10,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import scalars as S
+from tessera.functions.codes import year_end
 from tessera.operators import quota as Q
 from tessera.operators import relational as R
 from tessera.operators import sections as X
 from tessera.operators import submission as P
 from tessera.operators.upsert import upsert_latest
 from tessera.plans import section_sql
+from tessera.plans.time_sql import month_day
 from tessera.session import spread, table
 from tessera.sources import readers
 
@@ -50,7 +52,8 @@ def _iso(x: str) -> str:
 
 _DOCS = f"""docs AS (SELECT filing_id AS doc_id, split_part(source_relpath, '/', 2) AS year, {_form('form_type')} AS form_type, {_any('cik')} AS cik,
   coalesce(accession_number, '') AS accession, source_size_bytes FROM filings WHERE source_relpath IS NOT NULL)"""
-_UNIVERSE = f"universe AS (SELECT DISTINCT {_any('cik')} AS cik FROM company_data WHERE fiscal_year_end = '1231' AND {_any('cik')} <> '')"
+#: The universe of these queries: the companies whose fiscal year, however written, is the calendar year.
+_UNIVERSE = f"universe AS (SELECT DISTINCT {_any('cik')} AS cik FROM company_data WHERE {month_day('fiscal_year_end')} = '1231' AND {_any('cik')} <> '')"
 
 
 def manifest(spark: SparkSession, d: str) -> DataFrame:
@@ -59,7 +62,8 @@ def manifest(spark: SparkSession, d: str) -> DataFrame:
 
 
 def universe(spark: SparkSession, d: str) -> DataFrame:
-    return R.universe(table(spark, d, "company_data").filter("fiscal_year_end = '1231'").select("cik"))
+    """The companies whose fiscal year is the calendar year."""
+    return R.universe(table(spark, d, "company_data").filter(year_end(F.col("fiscal_year_end")) == "1231").select("cik"))
 
 
 def docs(spark: SparkSession, d: str) -> DataFrame:
@@ -170,7 +174,7 @@ def weakest_year(spark, d):
   SELECT year, doc_count, target - doc_count AS deficit FROM c, t WHERE doc_count < target""")
 def weak_years(spark, d):
     counts = _year_counts(spark, d)
-    return R.weak_years(counts, counts.agg(F.floor(F.avg("doc_count"))).head()[0])
+    return R.weak_years(counts, counts.agg(F.floor(F.avg("doc_count")).alias("target")))
 
 
 def _files(spark, d) -> DataFrame:
@@ -184,7 +188,7 @@ def _files(spark, d) -> DataFrame:
 @query(f"""WITH {_UNIVERSE}, f AS (SELECT split_part(source_relpath, '/', 2) AS year, regexp_extract(coalesce(cik, ''), '([0-9]{{1,10}})', 1) AS n, source_size_bytes AS b FROM filings WHERE source_relpath IS NOT NULL),
   c AS (SELECT year, b, CASE WHEN n = '' THEN 'unclassified' WHEN coalesce(nullif(ltrim(n, '0'), ''), '0') IN (SELECT cik FROM universe) THEN 'allowed' ELSE 'undesired' END AS k FROM f)
   SELECT year, count(*) AS filing_files_scanned, count(*) FILTER (k = 'allowed') AS allowed_cik_files, count(*) FILTER (k = 'unclassified') AS unclassified_files_left_untouched,
-  count(*) FILTER (k = 'undesired') AS undesired_files, coalesce(sum(b) FILTER (k = 'undesired'), 0)::BIGINT AS undesired_bytes FROM c GROUP BY ROLLUP (year)""")
+  count(*) FILTER (k = 'undesired') AS undesired_files, coalesce(sum(b) FILTER (k = 'undesired'), 0)::BIGINT AS undesired_bytes, 0::BIGINT AS deleted_files, 0::BIGINT AS deleted_bytes, 0::BIGINT AS delete_failures FROM c GROUP BY ROLLUP (year)""")
 def purge_report(spark, d):
     return R.purge_report(R.purge_candidates(_files(spark, d), universe(spark, d)))
 
@@ -244,26 +248,24 @@ def output_paths(spark, d):
     return o.select("o_orderkey", S.filing_path(F.col("o_orderpriority"), cust, F.date_format("o_orderdate", "yyyy-MM-dd"), F.concat(F.lit("edgar/data/"), key, F.lit(".txt")), F.concat(F.lit("Customer #"), cust)).alias("output_path"))
 
 
-@query("""SELECT doc_id, list_filter(string_split(regexp_replace(relative_path, '\\\\', '/', 'g'), '/'), lambda p: p <> '' AND p <> '.')[1] AS first_part, len(string_split(regexp_replace(relative_path, '\\\\', '/', 'g'), '/'))::INTEGER AS parts FROM documents WHERE relative_path IS NOT NULL""")
+_PARTS = "list_filter(string_split(p, '/'), lambda x: x NOT IN ('', '.'))"
+
+
+@query(f"""WITH t AS (SELECT doc_id, {_strip("regexp_replace(coalesce(relative_path, ''), '\\\\', '/', 'g')")} AS p FROM documents), x AS (SELECT doc_id, p, {_PARTS} AS l FROM t),
+  y AS (SELECT *, CASE WHEN lower(l[1]) = 'raw' THEN l[2:] ELSE l END AS i FROM x)
+  SELECT doc_id, CASE WHEN e IS NULL THEN array_to_string(i, '/') END AS path, e AS error FROM (SELECT *, CASE WHEN p = '' THEN 'empty' WHEN starts_with(p, '/') THEN 'absolute' WHEN list_contains(l, '..') THEN 'unsafe'
+    WHEN contains(l[1], ':') THEN 'drive' WHEN len(i) < 3 THEN 'structure' END AS e FROM y)""")
 def document_paths(spark, d):
-    parts = F.filter(F.split(F.regexp_replace("relative_path", r"\\", "/"), "/"), lambda p: ~p.isin("", "."))
-    return table(spark, d, "documents").filter("relative_path IS NOT NULL").select("doc_id", F.get(parts, F.lit(0)).alias("first_part"), F.size(F.split(F.regexp_replace("relative_path", r"\\", "/"), "/")).alias("parts"))
+    place = S.path_parts(F.col("relative_path"))
+    return table(spark, d, "documents").select("doc_id", F.array_join(place["parts"], "/").alias("path"), place["error"].alias("error"))
 
 
-@query("SELECT y::INTEGER AS year, q::INTEGER AS quarter, 'https://www.sec.gov/Archives/edgar/full-index/' || y || '/QTR' || q || '/master.idx' AS url FROM range(1993, 2025) t(y), range(1, 5) u(q) WHERE y < 2024 OR q <= 2")
+@query("""SELECT y::INTEGER AS year, q::INTEGER AS quarter, 'https://www.sec.gov/Archives/edgar/full-index/' || y || '/QTR' || q || '/master.idx' AS url, 'index/' || y || '/QTR' || q || '/master.idx' AS local_path
+  FROM range(1993, 2025) t(y), range(1, 5) u(q) WHERE y < 2024 OR q <= 2""")
 def index_quarters(spark, d):
     return readers.quarters(spark, 1993, 2024, (2024, 2))
 
 
-@query("""SELECT c_custkey::VARCHAR AS cik, c_name AS company_name, '10-K' AS form_type, '2020-01-01' AS date_filed, 'edgar/' || c_custkey || '.txt' AS filename,
-  'https://www.sec.gov/Archives/edgar/' || c_custkey || '.txt' AS filing_url FROM customer WHERE c_custkey % 5 <> 0""")
-def master_index(spark, d):
-    c = table(spark, d, "customer")
-    good = F.concat_ws("|", F.col("c_custkey").cast("string"), F.concat(F.lit(" "), F.col("c_name"), F.lit("\t")), F.lit("10-K"), F.lit("2020-01-01"), F.concat(F.lit("edgar/"), F.col("c_custkey").cast("string"), F.lit(".txt")))
-    line = F.when(F.col("c_custkey") % 10 == 0, "CIK|Company Name|Form Type|Date Filed|Filename").when(F.col("c_custkey") % 5 == 0, "1|2|3|4").otherwise(good)
-    return readers.index_rows(c.select(line.alias("value")))
-
-
 # ---- texts
 
 _WORD = "'[\\p{L}\\p{M}\\p{Nd}\\p{Nl}\\p{Pc}\\x{200c}\\x{200d}]+'"
@@ -336,59 +338,6 @@ def cleaned_texts(spark, d):
     return clean.select("doc_id", F.length("t").alias("n_chars"), F.md5("t").alias("text_md5"))
 
 
-# ---- submissions made of the documents, one each
-
-
-def _submission(document_type: Column, filename: Column, description: Column, text: Column, cik: Column) -> Column:
-    line = lambda tag, c: F.when(c.isNotNull(), F.concat(F.lit(f"<{tag}>"), c, F.lit("\n"))).otherwise("")
-    head = F.concat(
-        F.lit("<SEC-DOCUMENT>\n<SEC-HEADER>\n<ACCEPTANCE-DATETIME>20200102030405\nACCESSION NUMBER:\t\t0001-20-1\nCONFORMED SUBMISSION TYPE:\t8-K\nFILER:\n\tCOMPANY DATA:\n\t\tCENTRAL INDEX KEY:\t\t000"), cik,
-        F.lit("\n\tBUSINESS ADDRESS:\n\t\tCITY:\tX\n\t\tCITY:\tY\n\tFORMER COMPANY:\n\t\tFORMER CONFORMED NAME:\tOLD\n</SEC-HEADER>\n<DOCUMENT>\n"),
-    )
-    body = F.when(text.isNotNull(), F.concat(F.lit("<TEXT>\n"), text, F.lit("\n</TEXT>\n"))).otherwise("")
-    return F.concat(head, line("TYPE", document_type), F.lit("<SEQUENCE>1\n"), line("FILENAME", filename), line("DESCRIPTION", description), body, F.lit("</DOCUMENT>\n</SEC-DOCUMENT>\n"))
-
-
-def _parsed(spark, d) -> DataFrame:
-    t = texts(spark, d, "document_type", "filename", "description", "cik")
-    content = _submission(F.col("document_type"), F.col("filename"), F.col("description"), F.col("text"), F.coalesce("cik", F.lit("0")))
-    return P.parse_submissions(t.select(F.concat(F.lit("raw/2020/8-K/"), F.col("doc_id").cast("string"), F.lit(".txt")).alias("relpath"), F.encode(content, "UTF-8").alias("content")))
-
-
-_BODY = "text || chr(10)"
-_PLAIN = "NOT starts_with(text, 'begin ')"
-
-
-@query(f"""SELECT 'raw/2020/8-K/' || doc_id || '.txt' AS relpath, nullif(trim(document_type, chr(32)||chr(9)), '') AS document_type, nullif(trim(filename, chr(32)||chr(9)), '') AS filename,
-  CASE WHEN {_PLAIN} THEN octet_length(encode({_BODY}))::BIGINT END AS size_bytes, CASE WHEN {_PLAIN} THEN sha256({_BODY}) END AS sha256 FROM documents WHERE text IS NOT NULL""")
-def submission_documents(spark, d):
-    plain = F.col("d.encoding_status") == "plain"
-    docs_ = _parsed(spark, d).filter("record.error_type IS NULL").select("relpath", F.explode("record.documents").alias("d"))
-    empty = lambda c: F.nullif(F.col(c), F.lit(""))
-    return docs_.select("relpath", empty("d.document_type").alias("document_type"), empty("d.filename").alias("filename"), F.when(plain, F.col("d.size_bytes")).alias("size_bytes"), F.when(plain, F.col("d.sha256")).alias("sha256"))
-
-
-@query("""SELECT section, field_name, field_value, occurrence::BIGINT AS occurrence, count(*) AS n FROM (SELECT doc_id, coalesce(cik, '0') AS cik FROM documents WHERE text IS NOT NULL), LATERAL (VALUES ('filing', 'ACCEPTANCE-DATETIME', '20200102030405', 0),
-  ('filing', 'ACCESSION NUMBER', '0001-20-1', 0), ('filing', 'CONFORMED SUBMISSION TYPE', '8-K', 0), ('company_data', 'CENTRAL INDEX KEY', '000' || cik, 0), ('business_address', 'CITY', 'X', 0), ('business_address', 'CITY', 'Y', 1),
-  ('former_company', 'FORMER CONFORMED NAME', 'OLD', 0)) v(section, field_name, field_value, occurrence) GROUP BY 1, 2, 3, 4""")
-def submission_header_fields(spark, d):
-    fields = P.children(P.filings_table(_parsed(spark, d)))["header_fields"]
-    return fields.groupBy("section", "field_name", "field_value", "occurrence").agg(F.count("*").alias("n"))
-
-
-@query("SELECT 'raw/2020/8-K/' || doc_id || '.txt' AS relpath, 'ValueError' AS error_type FROM documents WHERE text IS NULL")
-def submission_errors(spark, d):
-    return P.errors(_parsed(spark, d)).select("relpath", "error_type")
-
-
-@query("""SELECT doc_id, CASE WHEN text IS NULL THEN '' ELSE coalesce(trim(document_type), '') END AS doc_type FROM documents""")
-def primary_documents(spark, d):
-    t = texts(spark, d, "document_type", "filename", "description")
-    text = _submission(F.col("document_type"), F.col("filename"), F.col("description"), F.col("text"), F.lit("1"))
-    main = P.primary_document(text, F.lit("8-K"))
-    return t.select("doc_id", F.when(F.col("text").isNull(), "").otherwise(main["type"]).alias("doc_type"))
-
-
 # ---- sampling
 
 
@@ -404,8 +353,7 @@ _QDOCS = f"{_DOCS}, qd AS (SELECT doc_id, any_value(year) AS year, any_value(for
 
 def _targets(spark, d) -> DataFrame:
     q = _quota_docs(spark, d)
-    n = q.count() // 40
-    return q.select("year").distinct().withColumn("target", F.lit(n).cast("bigint"))
+    return q.select("year").distinct().withColumn("target", q.agg(F.floor(F.count("*") / 40)).scalar())
 
 
 _ALLOCATION = f"""{_QDOCS}, w(form_type, weight, ord) AS (VALUES ('10-K', 0.3, 0), ('10-Q', 0.3, 1), ('8-K', 0.3, 2), ('DEF 14A', 0.1, 3)), t AS {_TARGET},
@@ -446,13 +394,6 @@ def balanced_set(spark, d):
     return Q.balanced(_quota_docs(spark, d), _targets(spark, d), Q.parse_weights(None), 5, SEED).select("doc_id", "year", "form_type", "cik")
 
 
-@query(None)
-def topped_up(spark, d):
-    q = _quota_docs(spark, d)
-    lack = R.weak_years(q.groupBy("year").agg(F.count("*").alias("doc_count")), q.count() // 24)
-    return Q.top_up(q, lack, Q.parse_weights(None), SEED, "doc_id").select("doc_id", "year", "form_type", "cik")
-
-
 # ---- state
 
 

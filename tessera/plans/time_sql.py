@@ -48,17 +48,23 @@ CIK = "nullif(ltrim(regexp_extract({}, '^[^0-9]*([0-9]+)[^0-9]*$', 1), '0'), '')
 FILED = f"""{read_times('filings', 'filing_id', 'filed_as_of_date', 'ft')}, filed AS (SELECT filing_id, max(day) AS day FROM ft WHERE filing_id IS NOT NULL GROUP BY 1)"""
 
 
+def month_day(column: str) -> str:
+    """``mmdd`` of a fiscal year end however written, null where it is none."""
+    x = f"trim(regexp_replace(upper({column}), '\\s+', ' ', 'g'))"
+    month = f"(position(left({x}, 3) IN 'JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC') + 2) // 3"
+    md = f"CASE WHEN regexp_matches({x}, '^[A-Z]{{3}}[A-Z]* [0-9]{{1,2}}$') THEN lpad(({month})::VARCHAR, 2, '0') || lpad(regexp_extract({x}, '[0-9]+$'), 2, '0') WHEN regexp_matches({x}, '^-{{0,2}}[0-9]{{1,2}}[-/]?[0-9]{{2}}$') THEN lpad(regexp_replace({x}, '[-/]', '', 'g'), 4, '0') END"
+    return f"CASE WHEN try_strptime('2000' || ({md}), '%Y%m%d') IS NOT NULL THEN {md} END"
+
+
 def _history(states: dict[str, str], placeholders: tuple[str, ...]) -> str:
     """CTEs: l (snapshots in order with the value before), nm (dated former names), lastname."""
     names = ", ".join(f"('{name}', '{code}')" for code, name in states.items())
     squeezed = "trim(regexp_replace(upper({}), '\\s+', ' ', 'g'))"
-    months = "(position(left({0}, 3) IN 'JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC') + 2) // 3"
-    fy, name = squeezed.format("fiscal_year_end"), squeezed.format("conformed_name")
+    name = squeezed.format("conformed_name")
     nothing = ", ".join(f"'{x}'" for x in placeholders)
-    md = f"CASE WHEN regexp_matches({fy}, '^[A-Z]{{3}}[A-Z]* [0-9]{{1,2}}$') THEN lpad(({months.format(fy)})::VARCHAR, 2, '0') || lpad(regexp_extract({fy}, '[0-9]+$'), 2, '0') WHEN regexp_matches({fy}, '^-{{0,2}}[0-9]{{1,2}}[-/]?[0-9]{{2}}$') THEN lpad(regexp_replace({fy}, '[-/]', '', 'g'), 4, '0') END"
     code = "nullif(ltrim(coalesce(nullif(regexp_extract(sic, '\\[\\s*([0-9]+)\\s*\\]', 1), ''), regexp_extract(sic, '^\\s*([0-9]+)\\s*$', 1)), '0'), '')"
     return f"""{FILED}, s(name, code) AS (VALUES {names}),
-  c AS (SELECT filing_id, {CIK.format('cik')} AS cik, {code} AS sic, coalesce(s1.code, s2.code) AS state, CASE WHEN try_strptime('2000' || ({md}), '%Y%m%d') IS NOT NULL THEN {md} END AS fy,
+  c AS (SELECT filing_id, {CIK.format('cik')} AS cik, {code} AS sic, coalesce(s1.code, s2.code) AS state, {month_day('fiscal_year_end')} AS fy,
       CASE WHEN regexp_matches({name}, '[[:alnum:]_]') AND {name} NOT IN ({nothing}) THEN {name} END AS name
     FROM company_data LEFT JOIN s s1 ON s1.name = {squeezed.format('state_of_incorporation')} LEFT JOIN s s2 ON s2.code = {squeezed.format('state_of_incorporation')}),
   g AS (SELECT filing_id, max(cik) AS cik, max(sic) AS sic, max(state) AS state, max(fy) AS fy, max(name) AS name FROM c WHERE filing_id IS NOT NULL GROUP BY 1),
