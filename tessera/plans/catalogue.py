@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.plans import problems, reference
+from tessera.plans import files, problems, reference
 
-_MODULES = (reference, problems)
+_MODULES = (reference, files, problems)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

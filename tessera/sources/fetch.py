@@ -87,7 +87,10 @@ def get(url: str, transport: Callable[[str], Response], retries: int, throttle:
 def free_bytes(df: DataFrame, root: str) -> int:
     """Bytes the file system of ``root`` has left."""
     path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(root)
-    return path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).getStatus(path).getRemaining()
+    fs = path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
+    while not fs.exists(path) and path.getParent() is not None:  # a folder that is still to be made
+        path = path.getParent()
+    return fs.getStatus(path).getRemaining()
 
 
 def fetch(rows: DataFrame, root: str, transport: Callable[[str], Response], retries: int = 2, interval: float = INTERVAL, reserve: int = 0, tasks: int | None = None) -> DataFrame:

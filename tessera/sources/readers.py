@@ -62,7 +62,8 @@ def _relpath(path: Column, root: str) -> Column:
 
 
 def inventory(spark: SparkSession, root: str, suffixes: tuple[str, ...] = ("txt", "html", "htm"), with_content: bool = False) -> DataFrame:
-    """Files below ``root``: relpath, year, form_folder, file_name, size and modification time; contents are only read if wanted."""
+    """Files below ``root``: relpath, year, form_folder, file_name, size and modification time; contents are only read if wanted.
+    Files without a byte are not listed: Spark's file sources pass over them."""
     glob = "*.{" + ",".join(x for s in suffixes for x in (s, s.upper())) + "}"
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(root)
     rel = _relpath(F.col("path"), root)

@@ -13,13 +13,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Blanks around values belong to them.
+CSV = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_manifest(df: DataFrame, path: str, overwrite: bool = False) -> None:
     """CSV with header; refuses to replace what is there unless told to."""
-    df.write.mode("overwrite" if overwrite else "errorifexists").csv(path, header=True, escape='"')
+    df.write.mode("overwrite" if overwrite else "errorifexists").csv(path, header=True, **CSV)
 
 
 def append_log(df: DataFrame, path: str) -> None:
-    df.write.mode("append").csv(path, header=True, escape='"')
+    df.write.mode("append").csv(path, header=True, **CSV)
 
 
 def write_text_parts(df: DataFrame, path: str, overwrite: bool = True) -> None:
@@ -41,7 +45,7 @@ def export_single(df: DataFrame, path: str) -> None:
     """One CSV file with one header: the parts are written by all tasks and then appended in the order of their names, as a stream of
     bytes through the file system of the path, so neither a task nor the driver holds more than a block of them."""
     parts = f"{path}.parts"
-    df.write.mode("overwrite").csv(parts, header=False, escape='"')
+    df.write.mode("overwrite").csv(parts, header=False, **CSV)
     jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
     target, folder, done = (jvm.org.apache.hadoop.fs.Path(p) for p in (f"{path}.tmp", parts, path))
     fs = target.getFileSystem(conf)
