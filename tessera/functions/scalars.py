@@ -199,7 +199,8 @@ def filing_id(relpath: Column, accession: Column, cik: Column) -> Column:
 
 def human_bytes(n: Column) -> Column:
     units = ("B", "KB", "MB", "GB", "TB")
-    shown = [F.format_string(f"%.2f {u}", n / 1024.0**k) for k, u in enumerate(units)]
+    # Halves go to the even digit; the formatter alone would round them up.
+    shown = [F.format_string(f"%.2f {u}", F.bround(n / 1024.0**k, 2)) for k, u in enumerate(units)]
     out = F.when(n < 1024.0, shown[0])
     for k in range(1, len(units) - 1):
         out = out.when(n < 1024.0 ** (k + 1), shown[k])
@@ -208,7 +209,7 @@ def human_bytes(n: Column) -> Column:
 
 def elapsed_text(seconds: Column) -> Column:
     s = seconds.cast("double")
-    return F.when(s < 60, F.format_string("%.1fs", s)).when(s < 3600, F.format_string("%.1fm", s / 60)).when(s.isNotNull(), F.format_string("%.2fh", s / 3600))
+    return F.when(s < 60, F.format_string("%.1fs", F.bround(s, 1))).when(s < 3600, F.format_string("%.1fm", F.bround(s / 60, 1))).when(s.isNotNull(), F.format_string("%.2fh", F.bround(s / 3600, 2)))
 
 
 def seeded_order(seed: int, *cols: Column) -> Column:

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.plans import files, problems, reference
+from tessera.plans import files, problems, reference, texts
 
-_MODULES = (reference, files, problems)
+_MODULES = (reference, files, texts, problems)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

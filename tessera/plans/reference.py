@@ -332,12 +332,6 @@ def fallback_sections(spark, d):
     return s.select("doc_id", F.length("s.text").alias("n_chars"), F.md5("s.text").alias("section_md5"))
 
 
-@query(None)
-def cleaned_texts(spark, d):
-    clean = texts(spark, d).select("doc_id", S.clean_text(F.col("text")).alias("t"))
-    return clean.select("doc_id", F.length("t").alias("n_chars"), F.md5("t").alias("text_md5"))
-
-
 # ---- sampling
 
 
