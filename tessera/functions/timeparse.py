@@ -8,11 +8,13 @@ thousand times is read once.
 
 Defined results: null, blank, unknown shapes and impossible dates or times give null. A bare date is
 not an instant (null); an instant in a date column gives its day in US Eastern time, or its own day where it
-has no zone. Texts over ``MAX_CHARS`` characters are no timestamps (null).
+has no zone. A tag before the value and outer or repeated blanks do not count; what is still over ``LONGEST`` characters is longer than
+any shape that is read, and so no timestamp.
 """
 
 from __future__ import annotations
 
+import re
 from functools import lru_cache
 from typing import NamedTuple
 
@@ -25,7 +27,9 @@ from pyspark.sql import types as T
 from tessera.functions.zones import FIXED_ABBREVIATIONS, ZONE_ABBREVIATIONS, utc_to_wall, wall_to_utc
 
 HOME_ZONE = "US/Eastern"
-MAX_CHARS = 64
+#: Weekday 11, date 18, time with nine decimals 18, two words 10, offset 7, separators: no timestamp is longer.
+LONGEST = 80
+_TAG, _BLANKS = re.compile(r"<[^>]*>"), re.compile(r" {2,}")
 # English month names.
 MONTHS = ("JANUARY", "FEBRUARY", "MARCH", "APRIL", "MAY", "JUNE", "JULY", "AUGUST", "SEPTEMBER", "OCTOBER", "NOVEMBER", "DECEMBER")
 # English weekday names.
@@ -271,8 +275,13 @@ def read_texts(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     by_shape: dict[str, list[int]] = {}
     cut: list[str] = [""] * n
     for k, t in enumerate(texts):
-        if t is not None and len(t) <= MAX_CHARS and t.isascii():
-            cut[k] = t.strip()
+        if t is None or not t.isascii():
+            continue
+        t = t.strip()
+        if len(t) > LONGEST:
+            t = _BLANKS.sub(" ", _TAG.sub("", t, 1).strip() if t[0] == "<" else t)
+        if len(t) <= LONGEST:
+            cut[k] = t
             by_shape.setdefault(shape_of(cut[k]), []).append(k)
     for shape, at in by_shape.items():
         if not shape or (p := compile_shape(shape)) is None:

@@ -7,7 +7,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tessera.functions.timeparse import MAX_CHARS, compile_shape, read_texts, shape_of
+from tessera.functions.timeparse import LONGEST, compile_shape, read_texts, shape_of
 from tessera.functions.zones import utc_to_wall, wall_to_utc
 from tessera.operators.timestamps import normal_values, with_normal_times
 
@@ -90,4 +90,11 @@ def test_the_session_zone_does_not_matter(spark):
         assert with_normal_times(df, ["t"], []).select(F.col("t_normal")).head()[0] == "2014-03-01T15:00:00Z"
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-    assert len("x" * (MAX_CHARS + 1)) > MAX_CHARS
+
+
+def test_long_values_are_read_or_are_none():
+    from tessera.functions.timeparse import read_texts
+
+    texts = [" " * 500 + "2014-01-24" + " " * 500, "<" + "X" * 300 + ">20140124", "Friday,   " + " " * 200 + "24 January 2014", "2014-01-24" + "0" * 100_000, "x" * 1_000_000, "< " * 50_000]
+    _, _, day, fine = read_texts(texts)
+    assert fine.tolist() == [True, True, fine[2], False, False, False] and day[0] == day[1] == 16094
