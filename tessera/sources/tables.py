@@ -27,7 +27,7 @@ TABLES = {
 
 def create_tables(spark: SparkSession, location: str, database: str = "filings_store") -> str:
     """Create what is missing of the database and its tables, as Parquet below ``location``; existing tables stay as they are."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
     for name, columns in TABLES.items():
         spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet LOCATION '{location}/{name}'")
     return database
