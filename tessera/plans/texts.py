@@ -21,7 +21,7 @@ from tessera.plans import pipeline, section_sql
 from tessera.plans.files import local
 from tessera.plans.reference import _DOCS, _PRIORITY, _QDOCS, _SPACE, _UNIVERSE, _WORD, CORE, FORMS, SEED, _any, _form, _quota_docs, _strip, docs, universe
 from tessera.plans.register import registry
-from tessera.session import table
+from tessera.session import spread, table
 from tessera.sources import readers, writers
 
 QUERIES, SQL, query = registry()
@@ -49,7 +49,7 @@ def _zip(texts: pa.Array, names: pa.Array, safe: pa.Array) -> pa.Array:
 
 
 def _submissions(spark: SparkSession, d: str) -> DataFrame:
-    t = table(spark, d, "documents").select("doc_id", "filing_id", "cik", "source", "lang", "document_type", "filename", "description", "text")
+    t = spread(table(spark, d, "documents").select("doc_id", "filing_id", "cik", "source", "lang", "document_type", "filename", "description", "text"))
     key, some = F.col("doc_id").cast("string"), lambda c: F.coalesce(c, F.lit(""))
     line = lambda tag, c: F.when(c.isNotNull(), F.concat(F.lit(f"<{tag}>"), c, F.lit("\n"))).otherwise("")
     head = F.concat(
@@ -176,7 +176,7 @@ def clean(x: str) -> str:
 
 @query(f"SELECT doc_id, length(c)::INTEGER AS n_chars, md5(c) AS text_md5 FROM (SELECT doc_id, CASE WHEN text IS NOT NULL THEN {clean('text')} END AS c FROM documents)")
 def cleaned_texts(spark, d):
-    cleaned = table(spark, d, "documents").select("doc_id", S.clean_text(F.col("text")).alias("t"))
+    cleaned = spread(table(spark, d, "documents").select("doc_id", "text")).select("doc_id", S.clean_text(F.col("text")).alias("t"))
     return cleaned.select("doc_id", F.length("t").alias("n_chars"), F.md5("t").alias("text_md5"))
 
 
@@ -184,7 +184,7 @@ def cleaned_texts(spark, d):
 
 
 def _raw_texts(spark: SparkSession, d: str) -> DataFrame:
-    t = table(spark, d, "documents").select("doc_id", "filing_id", "cik", "lang", "document_type", "filename", "text")
+    t = spread(table(spark, d, "documents").select("doc_id", "filing_id", "cik", "lang", "document_type", "filename", "text"))
     key, named = F.col("doc_id").cast("string"), lambda c, none: F.coalesce(F.nullif(F.trim(c), F.lit("")), F.lit(none))
     block = lambda kind, name, text: F.concat(F.lit("<DOCUMENT>\n<TYPE>"), kind, F.lit("\n<FILENAME>"), name, F.lit("\n<TEXT>\nfirst line\n"), text, F.lit("\n</TEXT>\n</DOCUMENT>\n"))
     form = F.when(F.col("lang").isNotNull(), "CONFORMED SUBMISSION TYPE:\t8-K\n").otherwise("")
