@@ -295,14 +295,21 @@ def catalogue_columns(spark, d):
 # ---- streams
 
 
+#: Folders of streamed_filings, each with a stream.
+STREAMS = 4
+
+
 @query("SELECT 'raw/2020/8-K/' || doc_id || '.txt' AS source_relpath, '8-K' AS form_type, octet_length(encode('<DOCUMENT>' || chr(10) || '<TEXT>' || chr(10) || text || chr(10) || '</TEXT>' || chr(10) || '</DOCUMENT>' || chr(10)))::BIGINT AS source_size_bytes FROM documents WHERE text IS NOT NULL")
 def streamed_filings(spark, d):
-    """Submissions taken in by a stream in batches of bounded size, in two runs; the second reads no file of the first again."""
+    """Submissions taken in by streams in batches of bounded size, in two runs; the second reads no file of the first again. They lie in
+    a few folders with a stream each, since a stream takes one batch after another."""
     root, t = local(spark), table(spark, d, "documents").filter("text IS NOT NULL")
     name = F.concat(F.lit("raw/2020/8-K/"), F.col("doc_id").cast("string"), F.lit(".txt"))
     content = F.encode(F.concat(F.lit("<DOCUMENT>\n<TEXT>\n"), F.col("text"), F.lit("\n</TEXT>\n</DOCUMENT>\n")), "UTF-8")
-    files = t.select(name.alias("relpath"), content.alias("content"))
-    for part in (files.filter(F.crc32("relpath") % 2 == 0), files.filter(F.crc32("relpath") % 2 == 1)):
-        writers.write_payloads(part, f"{root}/in").count()
-        incremental.stream_submissions(spark, f"{root}/in", f"{root}/out", f"{root}/checkpoint", 400).awaitTermination()
+    files = t.select(F.crc32(name).alias("h"), name.alias("name"), content.alias("content"))
+    placed = files.select("h", F.concat_ws("/", F.floor(F.col("h") / 2) % STREAMS, "name").alias("relpath"), "content")
+    tasks = max(1, spark.sparkContext.defaultParallelism // STREAMS)
+    for run in range(2):
+        writers.write_payloads(placed.filter(F.col("h") % 2 == run), f"{root}/in").count()
+        incremental.await_all([incremental.stream_submissions(spark, f"{root}/in/{k}", f"{root}/out", f"{root}/checkpoint/{k}", 400, f"{k}_", tasks) for k in range(STREAMS)])
     return incremental.current_state(spark, f"{root}/out").select("source_relpath", "form_type", "source_size_bytes")
