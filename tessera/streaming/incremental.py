@@ -24,7 +24,7 @@ def _session(spark: SparkSession, tasks: int) -> SparkSession:
     batch by a task for each file and reads and writes it by one for every few (a file opened counts as 4 MB). Here at most ``tasks`` list it,
     and it is dealt out to them by bytes, with more tasks where it is large. The batch's time stands as a constant in the expressions, which would be compiled
     anew for each batch, on each executor, so they are interpreted (the parsing is Python's). The whole log of files seen is
-    rewritten every hundredth batch instead of every tenth.
+    rewritten every hundredth batch instead of every tenth. Batch folders, which hold the bodies too, are written with zstd.
     """
     own = spark.newSession()
     for key, value in spark.conf.getAll.items():
@@ -32,7 +32,7 @@ def _session(spark: SparkSession, tasks: int) -> SparkSession:
             own.conf.set(key, value)
     for key, value in {
         "sources.parallelPartitionDiscovery.parallelism": tasks, "files.minPartitionNum": tasks, "files.openCostInBytes": 64 << 10,
-        "codegen.wholeStage": "false", "codegen.factoryMode": "NO_CODEGEN", "streaming.fileSource.log.compactInterval": 100,
+        "codegen.wholeStage": "false", "codegen.factoryMode": "NO_CODEGEN", "streaming.fileSource.log.compactInterval": 100, "parquet.compression.codec": "zstd",
     }.items():
         own.conf.set(f"spark.sql.{key}", str(value))
     return own
